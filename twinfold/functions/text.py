@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The characters that count as white space when a whole field is
 # tested for emptiness or cut into words.
-WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0  -     　]"
+WHITE_SPACE = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 KEY_CHARS = 64
 
