@@ -9,6 +9,7 @@ from twinfold.functions.text import filled, short_key
 from twinfold.operators.pairs import union_pairs
 from twinfold.operators.postings import drop_common, meet, rare_postings
 from twinfold.operators.skew import hot_keys, hot_keys_of_both, spread_join
+from twinfold.session import together
 from twinfold.sources.entities import PAIR
 
 KEY = ["country_key", "text_key"]
@@ -59,7 +60,10 @@ def exact_pair_total(s1: DataFrame, candidates: DataFrame, column: str) -> DataF
 def exact_block(s1: DataFrame, candidates: DataFrame) -> DataFrame:
     """Distinct pairs that agree on name or on address."""
     return union_pairs(
-        *[exact_rows(s1, candidates, c) for c in ("clean_name", "clean_address")]
+        *together(
+            lambda: exact_rows(s1, candidates, "clean_name"),
+            lambda: exact_rows(s1, candidates, "clean_address"),
+        )
     )
 
 
@@ -68,6 +72,8 @@ def capped_block(
 ) -> DataFrame:
     """``exact_block`` without the keys that more than the cap of candidates share."""
     return union_pairs(
-        capped_rows(s1, candidates, "clean_name", name_cap),
-        capped_rows(s1, candidates, "clean_address", address_cap),
+        *together(
+            lambda: capped_rows(s1, candidates, "clean_name", name_cap),
+            lambda: capped_rows(s1, candidates, "clean_address", address_cap),
+        )
     )

@@ -9,7 +9,7 @@ from twinfold.functions.text import filled, record_tokens, short_key
 from twinfold.operators.pairs import union_pairs
 from twinfold.operators.postings import drop_common, meet, rare_postings
 from twinfold.operators.skew import hot_keys
-from twinfold.session import stage
+from twinfold.session import stage, together
 
 # The bounds of the ten frequency buckets of the report.
 BUCKETS = [
@@ -102,12 +102,15 @@ def token_rows(
 
     keys = ["country_key", "token"]
     listed = index(candidates)
-    frequency = stage(_record_frequency(listed))  # the vocabulary, read three times
     in_country = F.col("country_key").isNotNull()
-    postings = rare_postings(listed.where(in_country), frequency, ["token"], keys, max_freq)
     left = index(s1).where(in_country)
+    frequency, hot = together(
+        lambda: stage(_record_frequency(listed)),  # the vocabulary, read three times
+        lambda: hot_keys(left, keys),
+    )
+    postings = rare_postings(listed.where(in_country), frequency, ["token"], keys, max_freq)
     kept = drop_common(left, frequency, ["token"], max_freq)
-    return meet(kept, postings, keys, hot_keys(left, keys))
+    return meet(kept, postings, keys, hot)
 
 
 def token_block(

@@ -9,24 +9,23 @@ included.  ``part_cards``: one record per part, with short names.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.session import stage
-from twinfold.sources.entities import candidates_of, spread_small
+from twinfold.sources.entities import spread_small
 
 
-@dataclass(frozen=True)
 class Cards:
-    s1: DataFrame
-    s2: DataFrame
-    s3: DataFrame
+    """The three tables of one card table, told apart by ``origin``."""
 
-    @property
-    def candidates(self) -> DataFrame:
-        return candidates_of(self.s2, self.s3)
+    def __init__(self, cards: DataFrame):
+        self.all = cards
+        self.s1, self.s2, self.s3 = [
+            cards.where(F.col("origin") == o).drop("origin") for o in ("S1", "S2", "S3")
+        ]
+        self.candidates = cards.where(F.col("origin") != "S1").drop("origin")
 
 
 def tidy(c: str) -> Column:
@@ -106,10 +105,6 @@ def cleaned(
     return _cleaned[key]
 
 
-def split_cards(cards: DataFrame) -> Cards:
-    return Cards(*[cards.where(F.col("origin") == o).drop("origin") for o in ("S1", "S2", "S3")])
-
-
 def truth_lists(cards: DataFrame) -> DataFrame:
     """Known matches: records that agree in country, name and address.
 

@@ -388,6 +388,7 @@ QUALITY = """
 
 ORACLE: dict[str, str] = {
     "entity_view": lines("SELECT * FROM cards"),
+    "candidate_table": lines("SELECT * FROM c"),
     "part_view": parts("SELECT * FROM cards"),
     "profile_blanks": lines(
         """SELECT count(*) AS row_count,

@@ -13,9 +13,9 @@ from twinfold.operators.features import RAW_TEXT, pair_features
 from twinfold.operators.pairs import block_coverage, new_pairs, union_pairs
 from twinfold.operators.sampling import grouped_split, keyed_sample
 from twinfold.operators.similarity import fuzzy_features
-from twinfold.plans.cards import Cards, cleaned, line_cards, part_cards, split_cards, truth_lists
-from twinfold.session import shared_folder, stage
-from twinfold.sources.entities import PAIR, read_id_lists
+from twinfold.plans.cards import Cards, cleaned, line_cards, part_cards, truth_lists
+from twinfold.session import shared_folder, stage, together
+from twinfold.sources.entities import PAIR, candidates_of, read_id_lists
 from twinfold.sources.sinks import write_tsv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +27,7 @@ def query(build: Callable[[Cards], DataFrame]) -> Callable[[Cards], DataFrame]:
     """Registers a query over the line cards."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(split_cards(cleaned(spark, sf_dir, line_cards)))
+        return build(Cards(cleaned(spark, sf_dir, line_cards)))
 
     REGISTRY[build.__name__] = run
     return build
@@ -37,15 +37,14 @@ def part_query(build: Callable[[Cards], DataFrame]) -> Callable[[Cards], DataFra
     """Registers a query over the part cards."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(split_cards(cleaned(spark, sf_dir, part_cards)))
+        return build(Cards(cleaned(spark, sf_dir, part_cards)))
 
     REGISTRY[build.__name__] = run
     return build
 
 
 def _truth(c: Cards) -> DataFrame:
-    s1 = c.s1.withColumn("origin", F.lit("S1"))
-    return truth_lists(s1.unionByName(c.candidates.withColumn("origin", F.lit("C"))))
+    return truth_lists(c.all)
 
 
 # --- tables and profiles -----------------------------------------------------
@@ -63,6 +62,11 @@ REGISTRY["entity_view"] = entity_view
 REGISTRY["part_view"] = part_view
 
 
+@query
+def candidate_table(c: Cards) -> DataFrame:
+    return candidates_of(c.s2, c.s3)
+
+
 @query
 def profile_blanks(c: Cards) -> DataFrame:
     return profile.blank_counts(c.s1)
@@ -196,23 +200,30 @@ def block_capped_coverage(c: Cards) -> DataFrame:
 # --- token and n-gram blocks -------------------------------------------------
 
 
-def _exact_parts(c: Cards) -> list[DataFrame]:
-    return [exact.exact_rows(c.s1, c.candidates, f) for f in ("clean_name", "clean_address")]
+NAME, ADDRESS = "clean_name", "clean_address"
+
+
+def _exact(c: Cards, field: str):
+    return lambda: exact.exact_rows(c.s1, c.candidates, field)
+
+
+def _tokens(c: Cards, field: str):
+    return lambda: tokens.token_rows(c.s1, c.candidates, field)
 
 
 def _combined(c: Cards) -> DataFrame:
-    parts = [tokens.token_rows(c.s1, c.candidates, f) for f in ("clean_name", "clean_address")]
-    return union_pairs(*_exact_parts(c), *parts)
+    blocks = [_exact(c, NAME), _exact(c, ADDRESS), _tokens(c, NAME), _tokens(c, ADDRESS)]
+    return union_pairs(*together(*blocks))
 
 
 @query
 def block_name_tokens(c: Cards) -> DataFrame:
-    return union_pairs(*_exact_parts(c), tokens.token_rows(c.s1, c.candidates, "clean_name"))
+    return union_pairs(*together(_exact(c, NAME), _exact(c, ADDRESS), _tokens(c, NAME)))
 
 
 @query
 def block_address_tokens(c: Cards) -> DataFrame:
-    return union_pairs(*_exact_parts(c), tokens.token_rows(c.s1, c.candidates, "clean_address"))
+    return union_pairs(*together(_exact(c, NAME), _exact(c, ADDRESS), _tokens(c, ADDRESS)))
 
 
 @query
@@ -252,12 +263,19 @@ def ngram_topk_low(c: Cards) -> DataFrame:
 
 @query
 def ngram_new_pairs(c: Cards) -> DataFrame:
-    return new_pairs(ngrams.ngram_block(c.s1, c.candidates), exact.exact_block(c.s1, c.candidates))
+    return new_pairs(
+        *together(
+            lambda: ngrams.ngram_block(c.s1, c.candidates),
+            lambda: exact.exact_block(c.s1, c.candidates),
+        )
+    )
 
 
 @query
 def block_ngram(c: Cards) -> DataFrame:
-    return union_pairs(ngrams.ngram_block(c.s1, c.candidates), _combined(c))
+    return union_pairs(
+        *together(lambda: ngrams.ngram_block(c.s1, c.candidates), lambda: _combined(c))
+    )
 
 
 # --- truth -------------------------------------------------------------------

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +67,9 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*steps: Callable[[], Any]) -> list[Any]:
+    """Results of independent steps that each run a Spark job, run side by side."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return list(pool.map(lambda step: step(), steps))
