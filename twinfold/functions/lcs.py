@@ -11,10 +11,13 @@ Two batch kernels, each working on all pairs of an Arrow batch together:
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
-LONGEST_VECTOR = 512
-CELLS_PER_BATCH = 1 << 16
+LANES_PER_WORD = 32
+VECTOR_CHARS = 1 << 18
+COMB_CHARS = 1 << 16
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -35,16 +38,16 @@ def _columns(texts: list[str], filler: int) -> np.ndarray:
     return grid
 
 
-def _batches(sizes: list[tuple[int, int]], order: list[int]):
-    """Neighbours in ``order`` together while their padded cells stay few."""
-    batch: list[int] = []
-    for i in order:
-        if batch and (len(batch) + 1) * max(1, sizes[i][1]) > CELLS_PER_BATCH:
-            yield batch
-            batch = []
-        batch.append(i)
-    if batch:
-        yield batch
+def _batches(lengths: list[int], items: list, chars: int):
+    """Neighbours together while they are of similar length and not too much text."""
+    start = 0
+    for at, length in enumerate(lengths):
+        low, high = sorted((length, lengths[start]))
+        if at > start and (high > 1.5 * low + 16 or (at - start + 1) * high > chars):
+            yield items[start:at]
+            start = at
+    if items:
+        yield items[start:]
 
 
 def _long_lcs(short: str, long: str) -> int:
@@ -88,36 +91,29 @@ def _vector_lcs(shorts: list[str], longs: list[str]) -> np.ndarray:
 
 
 def lcs_lengths(left: list[str], right: list[str]) -> np.ndarray:
-    """Length of the longest common subsequence of each pair."""
+    """Length of the longest common subsequence of each pair.
+
+    Pairs with shorter texts of equally many words go together, in order of the
+    longer text.  Groups too small to pay for the array calls go one by one.
+    """
     out = np.zeros(len(left), dtype=np.int64)
     pairs = [(a, b) if len(a) <= len(b) else (b, a) for a, b in zip(left, right)]
-    sizes = [(len(a), len(b)) for a, b in pairs]
-    vector = []
+    groups: dict[int, list[int]] = {}
     for i, (a, b) in enumerate(pairs):
         if a == b:
             out[i] = len(a)
-        elif len(a) > LONGEST_VECTOR:
-            out[i] = _long_lcs(a, b)
         elif a:
-            vector.append(i)
-    vector.sort(key=lambda i: (-((sizes[i][0] + 63) // 64), -sizes[i][1]))
-    for batch in _same_width(vector, sizes):
-        out[batch] = _vector_lcs([pairs[i][0] for i in batch], [pairs[i][1] for i in batch])
+            groups.setdefault((len(a) + 63) // 64, []).append(i)
+    for words, group in groups.items():
+        group.sort(key=lambda i: -len(pairs[i][1]))
+        for batch in _batches([len(pairs[i][1]) for i in group], group, VECTOR_CHARS):
+            if len(batch) < LANES_PER_WORD * words:
+                out[batch] = [_long_lcs(*pairs[i]) for i in batch]
+            else:
+                out[batch] = _vector_lcs([pairs[i][0] for i in batch], [pairs[i][1] for i in batch])
     return out
 
 
-def _same_width(order: list[int], sizes: list[tuple[int, int]]):
-    """Batches of pairs whose shorter texts need the same number of words."""
-    at = 0
-    while at < len(order):
-        width = (sizes[order[at]][0] + 63) // 64
-        end = at
-        while end < len(order) and (sizes[order[end]][0] + 63) // 64 == width:
-            end += 1
-        yield from _batches(sizes, order[at:end])
-        at = end
-
-
 def _comb(short: np.ndarray, long: np.ndarray) -> np.ndarray:
     """Where the strand that leaves below each column of ``long`` came in.
 
@@ -135,34 +131,38 @@ def _comb(short: np.ndarray, long: np.ndarray) -> np.ndarray:
         shift = m - 1 - d
         a, b = across[top:bottom], down[top + shift : bottom + shift]
         swap = (short[top:bottom] == backwards[top + shift : bottom + shift]) | (a > b)
-        a[:], b[:] = np.where(swap, b, a), np.where(swap, a, b)
+        change = (b - a) * swap
+        a += change
+        b -= change
     return down[::-1]
 
 
 def _best_windows(shorts: list[str], longs: list[str]) -> np.ndarray:
-    """Best score of each short text against the windows of its long text."""
+    """Best score of each short text against the windows of its long text.
+
+    A strand that begins and ends inside a window costs it one character, so
+    all windows of all pairs are scored by running sums over strand ends.
+    """
     came_in = _comb(_columns(shorts, -1), _columns(longs, -2))
-    padded = max(len(t) for t in shorts)
-    out = np.zeros(len(shorts))
-    for lane, (short, long) in enumerate(zip(shorts, longs)):
-        n, m = len(short), len(long)
-        strands = came_in[:m, lane] - padded
-        ends = np.flatnonzero(strands >= 0)
-        begins = strands[ends]
-        k = np.arange(1, n + 1)
-        # A strand that begins and ends inside a window costs it one character.
-        ended = np.searchsorted(ends, k)
-        begun = np.searchsorted(np.sort(begins), m - k)
-        inside = k - np.stack([ended, len(begins) - begun])
-        edges = (200.0 * inside / (n + k)).max()
-        change = np.zeros(m + 2, dtype=np.int64)
-        first = np.maximum(ends - n + 1, 0)
-        kept = first <= begins
-        np.add.at(change, first[kept], 1)
-        np.add.at(change, begins[kept] + 1, -1)
-        lost = np.cumsum(change)[: m - n + 1]
-        out[lane] = max(edges, 100.0 * (n - lost.min()) / n)
-    return out
+    m_pad, pairs = came_in.shape
+    n = np.array([len(t) for t in shorts])
+    m = np.array([len(t) for t in longs])
+    begin = came_in.astype(np.int64) - max(len(t) for t in shorts)
+    end, lane = np.nonzero((begin >= 0) & (np.arange(m_pad)[:, None] < m))
+    begin = begin[end, lane]
+
+    def running(at: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+        hits = np.bincount(at * pairs + lanes, minlength=(m_pad + 1) * pairs)
+        return np.cumsum(hits.reshape(m_pad + 1, pairs)[:m_pad], axis=0)
+
+    k = np.arange(1, m_pad + 1)[:, None]
+    lost = np.minimum(running(end, lane), running(m[lane] - 1 - begin, lane))
+    edges = np.where(k <= n, 200.0 * (k - lost) / (n + k), 0.0).max(axis=0)
+    first = np.maximum(end - n[lane] + 1, 0)
+    kept = first <= begin
+    lost = running(first[kept], lane[kept]) - running(begin[kept] + 1, lane[kept])
+    fewest = np.where(k <= m - n + 1, lost, m_pad).min(axis=0)
+    return np.maximum(edges, 100.0 * (n - fewest) / n)
 
 
 def window_scores(left: list[str], right: list[str]) -> np.ndarray:
@@ -182,9 +182,9 @@ def window_scores(left: list[str], right: list[str]) -> np.ndarray:
             jobs.append((i, a, b))
             if len(a) == len(b):
                 jobs.append((i, b, a))
-    sizes = [(len(a), len(b)) for _, a, b in jobs]
-    order = sorted(range(len(jobs)), key=lambda j: (sizes[j][1] // 16, sizes[j][0]))
-    for batch in _batches(sizes, order):
-        scores = _best_windows([jobs[j][1] for j in batch], [jobs[j][2] for j in batch])
-        np.maximum.at(out, [jobs[j][0] for j in batch], scores)
+    # Similar short texts together, in order of the long ones.
+    jobs.sort(key=lambda job: (round(2 * math.log2(len(job[1]))), len(job[2])))
+    for batch in _batches([len(b) for _, _, b in jobs], jobs, COMB_CHARS):
+        which, shorts, longs = zip(*batch)
+        np.maximum.at(out, list(which), _best_windows(list(shorts), list(longs)))
     return out
