@@ -20,13 +20,22 @@ from twinfold.sources.entities import spread_small
 class Cards:
     """The three tables of one card table, told apart by ``origin``."""
 
-    def __init__(self, cards: DataFrame):
-        self.all = cards
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        build: Callable[[SparkSession, str], DataFrame],
+    ):
+        self.spark, self.sf_dir, self.kind = spark, sf_dir, build.__name__
+        cards = self.all = self.derived("cards", lambda: build(spark, sf_dir))
         self.s1, self.s2, self.s3 = [
             cards.where(F.col("origin") == o).drop("origin") for o in ("S1", "S2", "S3")
         ]
         self.candidates = cards.where(F.col("origin") != "S1").drop("origin")
 
+    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return written(self.spark, self.sf_dir, f"{self.kind}/{name}", build)
+
 
 def tidy(c: str) -> Column:
     """Lower case, with every run of other than letters and digits as one space."""
@@ -91,18 +100,18 @@ def part_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_cleaned: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def cleaned(
-    spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]
+def written(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
-    """The cleaned table, written once per application: jobs read it many times,
+    """A derived table, written once per application: jobs read it many times,
     as they read cleaned input files elsewhere."""
-    key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
-    if key not in _cleaned:
-        _cleaned[key] = stage(build(spark, sf_dir))
-    return _cleaned[key]
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        _written[key] = stage(build())
+    return _written[key]
 
 
 def truth_lists(cards: DataFrame) -> DataFrame:

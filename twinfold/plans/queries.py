@@ -13,7 +13,7 @@ from twinfold.operators.features import RAW_TEXT, pair_features
 from twinfold.operators.pairs import block_coverage, new_pairs, union_pairs
 from twinfold.operators.sampling import grouped_split, keyed_sample
 from twinfold.operators.similarity import fuzzy_features
-from twinfold.plans.cards import Cards, cleaned, line_cards, part_cards, truth_lists
+from twinfold.plans.cards import Cards, line_cards, part_cards, truth_lists
 from twinfold.session import shared_folder, stage, together
 from twinfold.sources.entities import PAIR, candidates_of, read_id_lists
 from twinfold.sources.sinks import write_tsv
@@ -27,7 +27,7 @@ def query(build: Callable[[Cards], DataFrame]) -> Callable[[Cards], DataFrame]:
     """Registers a query over the line cards."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Cards(cleaned(spark, sf_dir, line_cards)))
+        return build(Cards(spark, sf_dir, line_cards))
 
     REGISTRY[build.__name__] = run
     return build
@@ -37,7 +37,7 @@ def part_query(build: Callable[[Cards], DataFrame]) -> Callable[[Cards], DataFra
     """Registers a query over the part cards."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Cards(cleaned(spark, sf_dir, part_cards)))
+        return build(Cards(spark, sf_dir, part_cards))
 
     REGISTRY[build.__name__] = run
     return build
@@ -325,7 +325,7 @@ def pair_features_lines(c: Cards) -> DataFrame:
 
 @query
 def fuzzy_features_lines(c: Cards) -> DataFrame:
-    return fuzzy_features(_line_features(c))
+    return c.derived("fuzzy", lambda: fuzzy_features(_line_features(c)))
 
 
 def _part_features(c: Cards) -> DataFrame:
@@ -388,6 +388,10 @@ def _closeness(one: str, two: str):
 
 def _scored_lines(c: Cards) -> DataFrame:
     """Labelled pairs with a score made of equal texts and similar lengths."""
+    return c.derived("scored", lambda: _score_lines(c))
+
+
+def _score_lines(c: Cards) -> DataFrame:
     pairs = tokens.token_block(c.s1, c.candidates, "clean_name")
     features = pair_features(pairs, c.s1, c.candidates)
     score = (
@@ -429,11 +433,17 @@ def average_precision(c: Cards) -> DataFrame:
     return _rounded(metrics.average_precision(_scored_lines(c)), "average_precision")
 
 
+_matchers: dict[tuple[str, str], matcher.Matcher] = {}
+
+
 def _fitted(c: Cards) -> tuple[matcher.Matcher, DataFrame]:
-    features = stage(fuzzy_features(_line_features(c)))
-    sample = matcher.training_sample(features, stage(_truth(c)))
-    settings = matcher.TreeSettings(rounds=10, min_rows_per_leaf=5)
-    return matcher.fit_matcher(sample, settings=settings), features
+    features = c.derived("fuzzy", lambda: fuzzy_features(_line_features(c)))
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _matchers:
+        sample = matcher.training_sample(features, stage(_truth(c)))
+        settings = matcher.TreeSettings(rounds=10, min_rows_per_leaf=5)
+        _matchers[key] = matcher.fit_matcher(sample, settings=settings)
+    return _matchers[key], features
 
 
 @query
