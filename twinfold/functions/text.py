@@ -22,14 +22,14 @@ def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
-def missing_flag(c: str) -> Column:
-    return (F.trim(text_or_empty(c)) == "").cast("int")
+def folded(c: str) -> Column:
+    """The form in which texts count as equal: no case, no outer spaces, never NULL."""
+    return F.lower(F.trim(text_or_empty(c)))
 
 
 def same_text_flag(a: str, b: str) -> Column:
     """1 when both sides agree up to case and outer spaces; two missing values agree."""
-    fold = lambda c: F.lower(F.trim(text_or_empty(c)))
-    return (fold(a) == fold(b)).cast("int")
+    return (folded(a) == folded(b)).cast("int")
 
 
 def char_count(c: str) -> Column:

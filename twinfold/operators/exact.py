@@ -24,7 +24,7 @@ def keyed(entities: DataFrame, column: str) -> DataFrame:
         "entity_id", short_key("clean_country").alias(KEY[0]), short_key(column).alias(KEY[1])
     )
     # Said outright, so that every use of a key count has the same plan and is shared.
-    return rows.dropna(subset=KEY)
+    return rows.where(F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull())
 
 
 def exact_rows(s1: DataFrame, candidates: DataFrame, column: str) -> DataFrame:
