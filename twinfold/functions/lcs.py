@@ -17,7 +17,7 @@ import numpy as np
 
 LANES_PER_WORD = 32
 VECTOR_CHARS = 1 << 18
-COMB_CHARS = 1 << 16
+COMB_CHARS = 1 << 18
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

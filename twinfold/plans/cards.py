@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinfold.functions.text import short_key
+from twinfold.operators.skew import hot_keys, spread_join
 from twinfold.session import stage
 from twinfold.sources.entities import spread_small
 
@@ -122,18 +124,20 @@ def truth_lists(cards: DataFrame) -> DataFrame:
     pairs.  A row lists the matches of one reference record in one document;
     repeated rows per record are part of the format.
     """
-    key = ["clean_country", "clean_name", "clean_address"]
-    whole = cards.where((F.col("clean_name") != "") & (F.col("clean_address") != ""))
+    key = ["country_key", "name_key", "address_key"]
+    whole = cards.where((F.col("clean_name") != "") & (F.col("clean_address") != "")).select(
+        "origin", "entity_id", *[short_key("clean_" + k.removesuffix("_key")).alias(k) for k in key]
+    )
     heads = (
         whole.where(F.col("origin") == "S1")
         .groupBy(*key)
         .agg(F.min("entity_id").alias("source1_entity_id"))
     )
+    others = whole.where(F.col("origin") != "S1").drop("origin")
+    found = spread_join(others, heads, key, hot_keys(others, key), left_id="entity_id")
     document = F.regexp_replace("entity_id", "-[0-9]+$", "")
     return (
-        whole.where(F.col("origin") != "S1")
-        .join(heads, key)
-        .groupBy("source1_entity_id", document.alias("document"))
+        found.groupBy("source1_entity_id", document.alias("document"))
         .agg(F.array_join(F.sort_array(F.collect_set("entity_id")), ",").alias("matched_entity_ids"))
         .drop("document")
     )

@@ -61,10 +61,12 @@ def stage(df: DataFrame) -> DataFrame:
 
     For frames that several later steps scan.  Unlike a cache, the table
     survives lost executors; unlike ``checkpoint`` it keeps column pruning and
-    filter pushdown for the readers.
+    filter pushdown for the readers.  All tables of an application lie in one
+    folder named after it, which can be removed when the application has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    path = f"{folder}/staged-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
