@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.operators.truth import explode_id_list, one_row
+from twinfold.operators.counts import count_repeated, count_rows, one_row
+from twinfold.operators.truth import explode_id_list
 from twinfold.sources.entities import PAIR, as_text
 
 CHECKS = [
@@ -56,15 +57,6 @@ def build_outputs(
     )
 
 
-def _count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
-def _repeated(df: DataFrame) -> DataFrame:
-    per_entity = df.groupBy(PAIR[0]).agg(F.count(F.lit(1)).alias("n"))
-    return _count(per_entity.where(F.col("n") > 1))
-
-
 def validate_outputs(
     matches: DataFrame, candidates: DataFrame, s1: DataFrame, s2: DataFrame, s3: DataFrame
 ) -> DataFrame:
@@ -75,13 +67,13 @@ def validate_outputs(
     known = known.select(F.col("entity_id").cast("string").alias(PAIR[1])).distinct()
     unknown = predicted.select(PAIR[1]).distinct().join(known, PAIR[1], "left_anti")
     counts = one_row(
-        entities=_count(s1.select("entity_id").distinct()),
-        match_rows=_count(matches),
-        candidate_rows=_count(candidates),
-        repeated_matches=_repeated(matches),
-        repeated_candidates=_repeated(candidates),
-        outside=_count(predicted.join(allowed, PAIR, "left_anti")),
-        unknown=_count(unknown),
+        entities=count_rows(s1.select("entity_id").distinct()),
+        match_rows=count_rows(matches),
+        candidate_rows=count_rows(candidates),
+        repeated_matches=count_repeated(matches, PAIR[0]),
+        repeated_candidates=count_repeated(candidates, PAIR[0]),
+        outside=count_rows(predicted.join(allowed, PAIR, "left_anti")),
+        unknown=count_rows(unknown),
     )
     violations = [
         F.abs(F.col("match_rows") - F.col("entities")),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.functions.text import is_blank, short_key
+from twinfold.operators.counts import one_row
 
 
 def profile_table(df: DataFrame) -> DataFrame:
@@ -52,8 +53,6 @@ def duplicate_counts(df: DataFrame, id_column: str = "entity_id") -> DataFrame:
             (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).cast("long").alias("n")
         )
 
-    from twinfold.operators.truth import one_row
-
     return one_row(duplicate_rows=repeats(row), duplicate_ids=repeats(short_key(id_column)))
 
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.functions.text import filled, text_or_empty
+from twinfold.operators.counts import count_rows, one_row
 from twinfold.operators.sampling import keyed_sample
 from twinfold.sources.entities import CLEAN, PAIR, RAW, require_columns
 
@@ -40,26 +39,6 @@ def _listed(truth: DataFrame, trim: bool) -> DataFrame:
     return explode_id_list(lists, trim=trim, drop_blank=False, distinct=False)
 
 
-def one_row(**counts: DataFrame) -> DataFrame:
-    """One-row, one-column counts side by side, without a cross join."""
-    names = list(counts)
-    rows = [
-        df.select(
-            *[
-                (F.col(df.columns[0]) if own == name else F.lit(None)).cast("long").alias(name)
-                for name in names
-            ]
-        )
-        for own, df in counts.items()
-    ]
-    stacked = reduce(DataFrame.unionByName, rows)
-    return stacked.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
-
-
-def _count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n"))
-
-
 def evaluate_blocking(
     pairs: DataFrame, truth: DataFrame, s1: DataFrame, s2: DataFrame, s3: DataFrame
 ) -> DataFrame:
@@ -70,12 +49,12 @@ def evaluate_blocking(
     """
     captured = _listed(truth, trim=True).join(pairs.select(*PAIR), PAIR)
     counts = one_row(
-        true_pairs=_count(_listed(truth, trim=False)),
-        captured_pairs=_count(captured),
-        candidate_pairs=_count(pairs),
-        s1_records=_count(s1),
-        s2_records=_count(s2),
-        s3_records=_count(s3),
+        true_pairs=count_rows(_listed(truth, trim=False)),
+        captured_pairs=count_rows(captured),
+        candidate_pairs=count_rows(pairs),
+        s1_records=count_rows(s1),
+        s2_records=count_rows(s2),
+        s3_records=count_rows(s3),
     )
 
     def share(part: str, whole: str):

@@ -416,6 +416,9 @@ ORACLE: dict[str, str] = {
     "name_freq_summary": summary("c", "clean_name"),
     "address_freq_summary": summary("s1", "clean_address"),
     "country_counts": lines("SELECT country, count(*) AS count FROM c GROUP BY ALL"),
+    "clean_country_counts": lines(
+        "SELECT clean_country, count(*) AS count FROM s1 WHERE clean_country IS NOT NULL GROUP BY ALL"
+    ),
     "first_rows": lines("SELECT * FROM s1 ORDER BY entity_id LIMIT 5"),
     "token_top30": lines(
         f"SELECT * FROM ({occurrences('clean_name')}) ORDER BY frequency DESC, token LIMIT 30"
@@ -495,6 +498,11 @@ ORACLE: dict[str, str] = {
         f"SELECT {NUMERIC}, 0 AS label FROM features ANTI JOIN truth USING ({BOTH})",
         TRUTH, CAPPED, FEATURES,
     ),
+    "labelled_pairs": lines(
+        f"""SELECT p.*, CASE WHEN t.source1_entity_id IS NULL THEN 0 ELSE 1 END AS label
+            FROM pairs p LEFT JOIN truth t USING ({BOTH})""",
+        TRUTH, CAPPED,
+    ),
     "train_sample": lines(
         f"""SELECT {NUMERIC}, 1 AS label FROM features JOIN truth t USING ({BOTH})
             UNION ALL
@@ -543,6 +551,7 @@ ORACLE: dict[str, str] = {
         "SELECT round(sum(pos * tp / (tp + fp)) / max(positives), 6) AS average_precision FROM ranked",
         TRUTH, SCORED, RANKED,
     ),
+    "predicted_pairs": lines(f"SELECT {BOTH} FROM predicted", CAPPED, FEATURES, PREDICTED),
     "output_matches": lines(
         id_lists("s1", "predicted", "matched_entity_ids"), CAPPED, FEATURES, PREDICTED
     ),

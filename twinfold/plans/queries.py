@@ -107,6 +107,11 @@ def country_counts(c: Cards) -> DataFrame:
     return profile.country_distribution(c.candidates, "country")
 
 
+@query
+def clean_country_counts(c: Cards) -> DataFrame:
+    return profile.country_distribution(c.s1, "clean_country", keep_null=False)
+
+
 @query
 def first_rows(c: Cards) -> DataFrame:
     return c.s1.orderBy("entity_id").limit(5)
@@ -360,6 +365,12 @@ def train_negatives(c: Cards) -> DataFrame:
     return matcher.training_negatives(_numeric_features(c), _truth(c))
 
 
+@query
+def labelled_pairs(c: Cards) -> DataFrame:
+    pairs = exact.capped_block(c.s1, c.candidates)
+    return matcher.label_pairs(pairs, _truth(c))
+
+
 @query
 def train_sample(c: Cards) -> DataFrame:
     return matcher.training_sample(
@@ -462,6 +473,14 @@ def matcher_metrics(c: Cards) -> DataFrame:
     return _fitted(c)[0].metrics
 
 
+@query
+def matcher_confusion(c: Cards) -> DataFrame:
+    """Quality over all candidate pairs, not only over the training sample."""
+    fitted, features = _fitted(c)
+    scored = matcher.score_pairs(fitted.model, features, fitted.features, fitted.threshold)
+    return metrics.confusion(matcher.label_pairs(scored, _truth(c)))
+
+
 # --- outputs -----------------------------------------------------------------
 
 
@@ -473,6 +492,11 @@ def _predicted(c: Cards) -> tuple[DataFrame, DataFrame]:
     return features.select(*PAIR), predictions
 
 
+@query
+def predicted_pairs(c: Cards) -> DataFrame:
+    return outputs.positive_pairs(_predicted(c)[1])
+
+
 @query
 def output_matches(c: Cards) -> DataFrame:
     return outputs.build_outputs(c.s1, *_predicted(c))[0]
