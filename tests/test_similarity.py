@@ -77,6 +77,8 @@ def test_kernels_on_long_and_many_texts(monkeypatch):
     assert lcs.lcs_lengths(a, b).tolist() == expected
     monkeypatch.setattr(lcs, "LANES_PER_WORD", 1)  # everything through the arrays
     assert lcs.lcs_lengths(a, b).tolist() == expected
+    monkeypatch.setattr(lcs, "MASK_WORDS", 100)  # batches halved for their alphabet
+    assert lcs.lcs_lengths(a, b).tolist() == expected
     monkeypatch.setattr(lcs, "VECTOR_CHARS", 50)  # texts longer than a batch
     monkeypatch.setattr(lcs, "COMB_CHARS", 50)
     assert lcs.lcs_lengths(a, b).tolist() == expected

@@ -18,6 +18,7 @@ import numpy as np
 LANES_PER_WORD = 32
 VECTOR_CHARS = 1 << 18
 COMB_CHARS = 1 << 18
+MASK_WORDS = 1 << 22
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +70,11 @@ def _vector_lcs(shorts: list[str], longs: list[str]) -> np.ndarray:
     letter = np.cumsum(seen) - 1  # the filler is letter 0
     pattern_code, text_code = letter[pattern + 1], letter[text + 1]
     width, pairs = (pattern.shape[0] + 63) // 64, pattern.shape[1]
+    if pairs > 1 and width * int(letter[-1] + 1) * pairs > MASK_WORDS:  # a large alphabet
+        half = pairs // 2
+        return np.concatenate(
+            [_vector_lcs(shorts[:half], longs[:half]), _vector_lcs(shorts[half:], longs[half:])]
+        )
     lane = np.arange(pairs)
     masks = np.zeros((width, letter[-1] + 1, pairs), dtype=np.uint64)
     for i in range(pattern.shape[0]):
