@@ -4,40 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import table
 from twinfold.llm.decontam import decontaminate
 from twinfold.llm.exact_dedup import exact_dedup
+from twinfold.llm.language import learned, remainder, with_language
 from twinfold.llm.packing import pack_documents
 from twinfold.llm.queries import TOKENIZER
 from twinfold.llm.simhash import simhash_components
 from twinfold.session import stage
 
+# A text of which no language has this share of the words is in none of them.
+MIN_SHARE = 0.3
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _keep(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` ``chosen`` (column ``chosen_id``) lists, null included."""
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen_id"]), "left_semi")
+def _without(docs: DataFrame, judged: DataFrame, keeps: Column) -> DataFrame:
+    """``docs`` without the ids (null included) of which no row is kept.
+
+    Those that go are the fewer, so they are what is joined.
+    """
+    gone = (
+        judged.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max(keeps).alias("keeps")).where("not keeps")
+    )
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+
+
+def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in no learned language, go."""
+    return with_language(docs, learned(docs, remainder() == 0), MIN_SHARE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
-    return _keep(docs, exact_dedup(docs).where("kept").select(F.col("doc_id").alias("chosen_id")))
+    return _without(docs, exact_dedup(docs), F.col("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
-    found = simhash_components(docs).where("doc_id <=> component_id")
-    return _keep(docs, found.select(F.col("doc_id").alias("chosen_id")))
+    return _without(docs, simhash_components(docs), F.expr("doc_id <=> component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more is benchmark text go."""
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark")).where("not contaminated")
-    return _keep(docs, found.select(F.col("doc_id").alias("chosen_id")))
+    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _without(docs, judged, ~F.col("contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +60,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", drop_undetermined),
     ("exact_dedup", drop_exact_copies),
     ("simhash", drop_near_copies),
     ("decontamination", drop_contaminated),

@@ -10,11 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from twinfold.llm.common import table
 from twinfold.llm.decontam import decontaminate
 from twinfold.llm.exact_dedup import exact_dedup
+from twinfold.llm.kneser_ney import score_held_out
+from twinfold.llm.language import identify_languages
+from twinfold.llm.licenses import scan_licenses
 from twinfold.llm.packing import pack_documents
+from twinfold.llm.secrets import scan_secrets
 from twinfold.llm.simhash import simhash_components
+from twinfold.llm.url_rules import judge_urls
+from twinfold.llm.warc import archive_pages
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+# The rules of the contract.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -28,11 +43,47 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_held_out(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(spark, table(spark, sf_dir, "pages"))
+
+
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op2_decontamination, op3_simhash, op5_exact_dedup)
+    for f in (
+        op1_best_fit_packing,
+        op2_decontamination,
+        op3_simhash,
+        op4_licenses,
+        op5_exact_dedup,
+        op6_secrets,
+        op7_language_model,
+        op8_language_id,
+        op9_warc,
+        op10_url_rules,
+    )
 }

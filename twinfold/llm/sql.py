@@ -38,4 +38,49 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normal WINDOW same AS (PARTITION BY text_sha256)
 """
 
-SQL: dict[str, str] = {"op2_decontamination": OP2, "op5_exact_dedup": OP5}
+OP9 = """
+WITH page AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+),
+sized AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+        CASE WHEN octet_length(payload) >= 1000
+            THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS response_id
+    FROM page
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN response_id IS NULL OR page_id = response_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = response_id THEN NULL ELSE response_id END AS refers_to
+FROM sized
+"""
+
+OP10 = f"""
+WITH url_rule(rule_host, rule_path, verdict) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+        ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+),
+cut AS (
+    SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0
+        THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+),
+page AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{UPPER.lower()}') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+)
+SELECT page_id, host, path,
+    (SELECT arg_max(rule_host || rule_path, length(rule_host || rule_path)) FROM url_rule
+     WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)) AS rule,
+    coalesce((SELECT arg_max(verdict, length(rule_host || rule_path)) FROM url_rule
+     WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+     'allow') AS verdict
+FROM page
+"""
+
+SQL: dict[str, str] = {
+    "op2_decontamination": OP2,
+    "op5_exact_dedup": OP5,
+    "op9_warc": OP9,
+    "op10_url_rules": OP10,
+}
