@@ -172,11 +172,17 @@ class Chain:
 
 
 class KindScores:
-    """Scores of the kinds met so far; new ones are added in one go, and all are forgotten when
-    there are too many."""
+    """Scores of the kinds met so far, as ``finish`` makes them; new ones are added in one go, and
+    all are forgotten when there are too many."""
 
-    def __init__(self, chain: Chain, describe: Callable[[str], list[list[int]]], most: int = 300_000):
-        self.chain, self.describe, self.most = chain, describe, most
+    def __init__(
+        self,
+        chain: Chain,
+        describe: Callable[[str], list[list[int]]],
+        finish: Callable[[np.ndarray], np.ndarray] = lambda scores: scores,
+        most: int = 500_000,
+    ):
+        self.chain, self.describe, self.finish, self.most = chain, describe, finish, most
         self.clear()
 
     def clear(self) -> None:
@@ -195,7 +201,7 @@ class KindScores:
         described = [self.describe(w) for w in new]
         at = len(self.numbers)
         for p in range(self.chain.places):
-            found = Features([d[p] for d in described]).scores(self.chain.weights[p])
+            found = self.finish(Features([d[p] for d in described]).scores(self.chain.weights[p]))
             if at + len(new) > len(self.tables[p]):
                 larger = np.zeros((2 * (at + len(new)), self.chain.states))
                 larger[:at] = self.tables[p][:at]

@@ -26,6 +26,7 @@ SIZE = 1 << 16
 STRETCH, STRETCHES = 16, 4  # words of one document, and such stretches in a training sequence
 LEXICON_MIN = 3
 UNDETERMINED = "und"
+PORTION_CHARS = 2_000_000
 
 # Bounds of the sample that the model is fitted on.
 SAMPLE_PER_LANGUAGE = 150
@@ -48,18 +49,41 @@ def word_features(word: str, lexicon: frozenset[str]) -> list[int]:
     return hashed(names, SIZE)
 
 
+def _portions(texts: list[str], chars: int = PORTION_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of texts whose words are held at a time: about ``chars``, or a single text."""
+    a, size = 0, 0
+    for b, text in enumerate(texts):
+        if b > a and size + len(text) > chars:
+            yield a, b
+            a, size = b, 0
+        size += len(text)
+    if a < len(texts):
+        yield a, len(texts)
+
+
 class LanguageModel:
     def __init__(self, languages: list[str], lexicon: frozenset[str], chain: Chain):
         self.languages, self.lexicon, self.chain = languages, lexicon, chain
+        self._labeller: Labeller | None = None
 
     def labeller(self) -> Labeller:
-        return Labeller(self)
+        """One for all tasks of a worker, which keeps the words it has met."""
+        if self._labeller is None:
+            self._labeller = Labeller(self)
+        return self._labeller
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_labeller": None}
 
 
 class Labeller:
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.kinds = KindScores(model.chain, lambda w: [word_features(w, model.lexicon)])
+        self.kinds = KindScores(
+            model.chain,
+            lambda w: [word_features(w, model.lexicon)],
+            lambda scores: np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-12,
+        )
         self.transitions = np.exp(model.chain.transitions)
 
     def word_probabilities(self, texts: list[str]) -> list[np.ndarray]:
@@ -73,10 +97,10 @@ class Labeller:
 
     def shares(self, texts: list[str]) -> np.ndarray:
         """For each text the share of each language in its words; zeros without words."""
-        words = [words_of(t) for t in texts]
         out = np.zeros((len(texts), len(self.model.languages)))
-        for rows, marginals in self._marginals(words):
-            out[rows] = marginals.sum(axis=0)
+        for a, b in _portions(texts):
+            for rows, marginals in self._marginals([words_of(t) for t in texts[a:b]]):
+                out[a + rows] = marginals.sum(axis=0)
         return out / np.maximum(out.sum(axis=1, keepdims=True), 1e-300)
 
     def _marginals(self, words: list[list[str]]):
@@ -89,9 +113,7 @@ class Labeller:
             for j, r in enumerate(rows):
                 kinds[: lengths[r], j] = np.fromiter(map(number, words[r]), np.int64, lengths[r])
             active = (lengths[rows][None, :] > np.arange(steps)[:, None]).sum(axis=1)
-            scores = self.kinds.tables[0][: len(self.kinds.numbers)]
-            potentials = np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-12
-            yield rows, forward_backward(potentials[kinds], self.transitions, active)[0]
+            yield rows, forward_backward(self.kinds.tables[0][kinds], self.transitions, active)[0]
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 0) -> LanguageModel:

@@ -33,7 +33,9 @@ from twinfold.session import stage
 
 CAPACITY = 2048
 SEPARATOR = 0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
+TOGETHER = 1000  # new words that are encoded together
+PUNCTUATION = "!\"#$%&()*+,./:;=?@[]^_`{|}~-"
 CACHED_LENGTH = 64
 SPECIAL = "<|"  # a text with this may hold a special token and is encoded as a whole
 
@@ -43,35 +45,66 @@ Run = tuple[int, int, int, int, int, int]  # length, first rank, pieces, sequenc
 class Encoder:
     """Token ids as little-endian bytes.
 
-    No token spans white space, so ids of words are kept and joined; the library encodes
-    each new word.
+    No token spans white space or the place where a letter meets punctuation, and A-Z
+    count as a-z.  So ids of words are kept and joined; the library encodes each new
+    word, many at a time, and offsets tell whose tokens they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.known: dict[str, bytes] = {"": b""}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            starts = np.cumsum([0, *(len(w) + 1 for w in some)])
+            cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
+            for word, a, b in zip(some, cuts.tolist(), cuts[1:].tolist()):
+                self.known[word] = ids[a:b].tobytes()
+
+    def _add(self, words: set[str]) -> None:
+        new = [w for w in words.difference(self.known) if len(w) <= CACHED_LENGTH]
+        if len(self.known) + 2 * len(new) > CACHED_WORDS:
+            self.known = {"": b""}
+            new = [w for w in words if 0 < len(w) <= CACHED_LENGTH]
+        cut = {}
+        for word in new:
+            stem = word.rstrip(PUNCTUATION)
+            if stem and stem != word and "a" <= stem[-1] <= "z":
+                cut[word] = stem, word[len(stem) :]
+        parts = {p for pair in cut.values() for p in pair}.union(w for w in new if w not in cut)
+        self._learn(list(parts.difference(self.known)))
+        for word, (stem, end) in cut.items():
+            self.known[word] = self.known[stem] + self.known[end]
 
     def __call__(self, text: str) -> bytes:
         if SPECIAL in text:
-            return self._ids([text])[0]
-        words = text.replace("\n", " ").split(" ")
-        new = [w for w in {*words}.difference(self.known) if len(w) <= CACHED_LENGTH]
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = [w for w in {*words} if len(w) <= CACHED_LENGTH]
-        if new:
-            self.known.update(zip(new, self._ids(new)))
+            return self._whole(text)
+        words = text.encode().lower().decode().replace("\n", " ").split(" ")
+        if not self.known.keys() >= (different := {*words}):
+            self._add(different)
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:  # long words are not kept
             known = self.known
-            return b"".join(known[w] if w in known else self._ids([w])[0] for w in words)
+            return b"".join(known[w] if w in known else self._whole(w) for w in words)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker, which keeps the words it has met."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def pieces(
@@ -86,7 +119,7 @@ def pieces(
     columns = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def start():
-        encode, end = Encoder(tokenizer_path), np.array([SEPARATOR], "<u4").tobytes()
+        encode, end = encoder(tokenizer_path), np.array([SEPARATOR], "<u4").tobytes()
 
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {c.split()[0]: [] for c in columns.split(", ")}

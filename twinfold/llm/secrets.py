@@ -245,7 +245,10 @@ def scan(documents: DataFrame, chain: Chain) -> DataFrame:
     shipped = documents.sparkSession.sparkContext.broadcast(chain)  # of fixed size
 
     def start():
-        tagger = Tagger(shipped.value)
+        chain = shipped.value
+        if not hasattr(chain, "tagger"):  # one for all tasks of a worker, which keeps the tokens it has met
+            chain.tagger = Tagger(chain)
+        tagger = chain.tagger
 
         def one(text: str) -> tuple:
             base = base_spans(text)

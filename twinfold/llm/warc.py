@@ -36,6 +36,7 @@ REVISIT_BYTES = 1000
 BLOCK_LINES = 1000
 FILE_BYTES = 1 << 30
 GZIP_LEVEL = 6
+READ_BYTES = 32 << 20  # of archives that a task reads
 OPEN_FILES = 64
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -257,13 +258,15 @@ class IndexReader:
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def read_captures(parts: DataFrame, keys: DataFrame) -> DataFrame:
+def read_captures(parts: DataFrame, keys: DataFrame, read_tasks: int | None = None) -> DataFrame:
     """Parsed records of the captures that ``keys`` (column ``capture_key``) names; repeated keys
     count once, unknown ones give nothing.
 
-    ``parts`` is what ``write_index`` gives: a row per index partition.
+    ``parts`` is what ``write_index`` gives: a row per index partition.  ``read_tasks`` says into how
+    many tasks the reading is cut: keys are short, so their bytes say nothing about it.
     """
     places = [tuple(r) for r in parts.collect()]  # bounded by the number of partitions
+    tasks = read_tasks or keys.sparkSession.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, last = IndexReader(places), None
@@ -281,7 +284,7 @@ def read_captures(parts: DataFrame, keys: DataFrame) -> DataFrame:
                 names=names,
             )
 
-    dealt = keys.select("capture_key").repartitionByRange("capture_key")
+    dealt = keys.select("capture_key").repartitionByRange(tasks, "capture_key")
     return dealt.sortWithinPartitions("capture_key").mapInArrow(run, RECORD)
 
 
@@ -297,4 +300,6 @@ def archive_pages(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """
     folder = new_folder(spark, "warc")
     entries = write_warc(pages, folder)
-    return read_captures(write_index(entries, folder), entries)
+    size = entries.agg(F.sum("bytes")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES))
+    return read_captures(write_index(entries, folder), entries, tasks)
