@@ -2,6 +2,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 from tables import S1, S2, S3, as_set, entities, messy, short
 
 from twinfold.operators import exact, ngrams, postings, skew, tokens
@@ -153,12 +154,38 @@ def test_hot_keys_are_dealt_over_cells(spark, monkeypatch):
     monkeypatch.setattr(exact, "CELL_ROWS", 2)
     left = exact.keyed(s1, "clean_name")
     hot = skew.hot_keys_of_both(left, exact.keyed(c, "clean_name"), exact.KEY, 2)
-    assert [(r.left_cells, r.right_cells) for r in hot.collect()] == [(8, 13)]
+    assert [(r.left_cells, r.right_cells) for r in hot.cells.collect()] == [(8, 13)]
     assert as_set(exact.exact_rows(s1, c, "clean_name")) == exact_by_hand(rows1, rows2, 1)
     total = exact.exact_pair_total(s1, c, "clean_name").first()["pairs"]
     assert total == len(exact_by_hand(rows1, rows2, 1))
 
 
+def test_pairs_of_hot_keys_reach_many_tasks(spark, monkeypatch):
+    """Adaptive execution may not merge cells, however few bytes they are."""
+    monkeypatch.setattr(exact, "CELL_ROWS", 20)
+    monkeypatch.setattr(skew, "TASK_PAIRS", 10_000)
+    rows1 = [(f"a{i}", f"hot{i % 3}", None, "XX") for i in range(1200)]
+    rows2 = [(f"c{i}", f"hot{i % 3}", None, "XX") for i in range(1200)]
+    s1, c = entities(spark, rows1), entities(spark, rows2)
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    pairs = exact.exact_rows(s1, c, "clean_name")
+    per_task = pairs.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    total = sum(r["count"] for r in per_task)
+    assert total == 3 * 400 * 400
+    assert len(per_task) > 20 and max(r["count"] for r in per_task) < total / 8
+
+
+def test_every_hot_key_is_dealt(spark):
+    """However many there are, and whichever side makes them hot."""
+    left = spark.range(3000).selectExpr("id % 1000 AS k", "id AS entity_id")
+    right = spark.range(9000).selectExpr("id % 1000 AS k", "id AS other_id")
+    hot = skew.hot_keys_of_both(left, right, ["k"], 2)
+    assert hot.cells.count() == 1000
+    assert {(r.left_cells, r.right_cells) for r in hot.cells.collect()} == {(2, 5)}
+    joined = skew.spread_join(left, right, ["k"], hot, "entity_id", "other_id")
+    assert joined.count() == 27_000 == joined.distinct().count()
+
+
 def test_hot_reference_keys_and_bounded_lists(spark, monkeypatch):
     """Salting and the common-key list change nothing, also when they overflow."""
     rows1, rows2 = messy("a", 3), messy("c", 2)
@@ -167,7 +194,6 @@ def test_hot_reference_keys_and_bounded_lists(spark, monkeypatch):
     for module in (exact, tokens, ngrams):
         monkeypatch.setattr(module, "hot_keys", lambda left, keys: real(left, keys, 2))
     monkeypatch.setattr(postings, "MAX_COMMON", 2)
-    monkeypatch.setattr(skew, "MAX_HOT", 3)
     assert as_set(tokens.token_block(s1, c, "clean_name", 3)) == tokens_by_hand(rows1, rows2, 1, 3)
     assert as_set(exact.capped_block(s1, c, 3, 3)) == exact_by_hand(rows1, rows2, 1, 3) | exact_by_hand(rows1, rows2, 2, 3)
     assert as_set(ngrams.ngram_block(s1, c, max_freq=6)) == ngrams_by_hand(rows1, rows2, 2, 6, 20, 20)

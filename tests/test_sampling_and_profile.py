@@ -100,3 +100,41 @@ def test_rare_tokens_count_records_not_occurrences(spark):
     df = entities(spark, [("1", "aaa aaa bbb", None), ("2", "aaa cc", None, None), ("3", "bbb aaa", None)])
     assert {r.token: r.frequency for r in tokens.rare_tokens(df, "clean_name", 2).collect()} == {"bbb": 2}
     assert {r.token: r.frequency for r in tokens.rare_tokens(df, "clean_name", 3).collect()} == {"aaa": 3, "bbb": 2}
+
+
+def test_counts_beyond_a_long(spark, monkeypatch):
+    """Billions of rows a key, as stand-in counts."""
+    from pyspark.sql import functions as F
+    from twinfold.operators import exact, metrics, profile, truth
+
+    counts = spark.createDataFrame([("a", 4 * 10**9), ("b", 6 * 10**9)], "value string, count long")
+    monkeypatch.setattr(profile, "value_frequencies", lambda df, column: counts)
+    row = profile.frequency_summary(counts, "value").first()
+    assert row["mean"] == 5e9 and row["std"] == pytest.approx(2**0.5 * 1e9)
+
+    one = spark.createDataFrame([("e", "n", "a", "XX")], "entity_id string, clean_name string, clean_address string, clean_country string")
+    monkeypatch.setattr(truth, "count_rows", lambda df: F.lit(4 * 10**9))
+    real = truth.one_row
+    monkeypatch.setattr(truth, "one_row", lambda **c: spark.range(1).select(*[v.alias(k) for k, v in c.items()]))
+    known = spark.createDataFrame([("e", "f")], "source1_entity_id string, matched_entity_ids string")
+    pairs = spark.createDataFrame([("e", "f")], "source1_entity_id string, candidate_entity_id string")
+    assert truth.evaluate_blocking(pairs, known, one, one, one).first()["all_pairs"] == 32 * 10**18
+    monkeypatch.setattr(truth, "one_row", real)
+
+    ranked = spark.createDataFrame([(5 * 10**9, 5 * 10**9, 0, 5 * 10**9)], "pos long, tp long, fp long, positives long")
+    assert metrics._average_precision(ranked).first()[0] == pytest.approx(1.0)
+    both = spark.range(1).select(F.lit(4 * 10**9).alias("l"), F.lit(4 * 10**9).alias("r"))
+    product = (F.col("l").cast("decimal(19,0)") * F.col("r").cast("decimal(19,0)")).cast("decimal(38,0)")
+    assert both.agg(F.sum(product).alias("pairs")).first()["pairs"] == 16 * 10**18
+
+
+def test_long_countries_stay_as_they_are(spark):
+    from twinfold.operators import ngrams
+
+    country = "land " * 20
+    rows = spark.createDataFrame([("a", "abcdef", None, country), ("b", "abcdeg", None, country)], "entity_id string, clean_name string, clean_address string, clean_country string")
+    found = ngrams.gram_frequency(rows)
+    assert {r["clean_country"] for r in found.collect()} == {country}
+    rare = ngrams.rarest_grams(rows, found)
+    assert {(r["clean_country"], r["ngram"]) for r in rare.collect()} == {(country, "abcd"), (country, "bcde")}
+    assert ngrams.ngram_block(rows.where("entity_id = 'a'"), rows).count() == 2

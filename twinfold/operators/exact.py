@@ -54,7 +54,9 @@ def exact_pair_total(s1: DataFrame, candidates: DataFrame, column: str) -> DataF
         .groupBy(*KEY)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     )
-    return sides.agg(F.coalesce(F.sum(F.col("l") * F.col("r")), F.lit(0)).alias("pairs"))
+    both = F.col("l").cast("decimal(19,0)") * F.col("r").cast("decimal(19,0)")
+    total = F.sum(both.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return sides.agg(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("pairs"))
 
 
 def exact_block(s1: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.operators.skew import spread_join
+from twinfold.operators.skew import Hot, spread_join
 
 MAX_COMMON = 2000
 
@@ -51,7 +51,7 @@ def rare_postings(
 
 
 def meet(
-    left: DataFrame, postings: DataFrame, keys: list[str], hot: DataFrame | None
+    left: DataFrame, postings: DataFrame, keys: list[str], hot: Hot | None
 ) -> DataFrame:
     """Pairs (with repeats) of left records and the ids listed under their keys."""
     return spread_join(left, postings, keys, hot, left_id="entity_id").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions.text import is_blank, short_key
@@ -72,13 +72,15 @@ def frequency_summary(df: DataFrame, column: str) -> DataFrame:
     Counts are first grouped by size, which leaves few rows for the quartiles.
     """
     sizes = value_frequencies(df, column).groupBy("count").agg(F.count(F.lit(1)).alias("times"))
-    n, times = F.col("count"), F.col("times")
-    total, mass, squares = F.sum(times), F.sum(n * times), F.sum(n * n * times)
-    variance = (squares - mass * mass / total) / (total - 1)
-    return sizes.agg(
+    n, times, weight = F.col("count"), F.col("times"), F.col("times").cast("double")
+    everything = Window.partitionBy()
+    mean = F.sum(n * weight).over(everything) / F.sum(weight).over(everything)
+    total = F.sum(times)
+    variance = F.sum(weight * (n - F.col("mean")) * (n - F.col("mean"))) / (total - 1)
+    return sizes.withColumn("mean", mean).agg(
         F.coalesce(total, F.lit(0)).alias("unique_values"),
-        (mass / total).alias("mean"),
-        F.when(total > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),
+        F.first("mean").alias("mean"),
+        F.when(total > 1, F.sqrt(variance)).alias("std"),
         F.min(n).alias("min"),
         *[F.percentile(n, q, times).alias(name) for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))],
         F.max(n).alias("max"),

@@ -1,26 +1,42 @@
 """Joins on data keys of which a few may hold a large share of all rows.
 
 A hash partition never has to hold a whole hot key: its rows are dealt over
-several cells.  Which keys are hot is counted beforehand, on a 64-bit hash of
-the key, so the list that reaches the driver and is broadcast has at most
-``MAX_HOT`` rows of three numbers.  The hash only decides how rows are dealt,
-never which rows join, so a collision costs nothing but an extra cell.  Without
-a hot key the join is an ordinary one.
+several cells, and the cells over tasks by a shuffle of a fixed number of
+partitions, which adaptive execution does not merge (it goes by bytes, and a
+cell of few bytes may make many pairs).  Which keys are hot is counted
+beforehand, on a 64-bit hash of the key, and written to a table that may have
+any number of rows; only their number and the number of pairs they make reach
+the driver.  The hash only decides how rows are dealt, never which rows join, so
+a collision costs nothing but an extra cell.  Without a hot key the join is an
+ordinary one.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT = 2000
+from twinfold.session import stage
+
+# Pairs of hot keys for which another task is worth its start.
+TASK_PAIRS = 50_000_000
+MAX_TASKS = 100_000
+
+
+class Hot(NamedTuple):
+    """Hot keys (``key_hash, left_cells, right_cells``), and the tasks to deal their cells over."""
+
+    cells: DataFrame
+    tasks: int
 
 
 def _hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(left: DataFrame, keys: list[str], left_rows: int = 200_000) -> DataFrame | None:
+def hot_keys(left: DataFrame, keys: list[str], left_rows: int = 200_000) -> Hot | None:
     """Hot keys of the left side, for a right side with one row per key."""
     counts = left.groupBy(_hash(keys).alias("key_hash")).agg(F.count(F.lit(1)).alias("l"))
     return _cells(counts.withColumn("r", F.lit(1)), left_rows, 1)
@@ -28,7 +44,7 @@ def hot_keys(left: DataFrame, keys: list[str], left_rows: int = 200_000) -> Data
 
 def hot_keys_of_both(
     left: DataFrame, right: DataFrame, keys: list[str], cell_rows: int
-) -> DataFrame | None:
+) -> Hot | None:
     """Hot keys of two sides that may both repeat a key."""
     tagged = left.select(
         _hash(keys).alias("key_hash"), F.lit(1).alias("l"), F.lit(0).alias("r")
@@ -39,31 +55,34 @@ def hot_keys_of_both(
     return _cells(counts.where((F.col("l") > 0) & (F.col("r") > 0)), cell_rows, cell_rows)
 
 
-def _cells(counts: DataFrame, left_rows: int, right_rows: int) -> DataFrame | None:
+def _cells(counts: DataFrame, left_rows: int, right_rows: int) -> Hot | None:
     """How many cells each side of a hot key is dealt over.
 
-    The ``MAX_HOT`` heaviest keys are listed.  Any other key has less than
-    ``1/MAX_HOT`` of the rows of a side and stays in one partition.
+    A key is hot by the pairs it makes: more than a cell of ``left_rows`` and
+    ``right_rows`` does, however they fall on the two sides.
     """
-    hot = (
-        counts.where((F.col("l") > left_rows) | (F.col("r") > right_rows))
-        .orderBy(F.greatest("l", "r").desc(), "key_hash")
-        .limit(MAX_HOT)
-        .select(
+    pairs = F.col("l").cast("double") * F.col("r")
+    hot = stage(
+        counts.where(pairs > float(left_rows) * right_rows).select(
             "key_hash",
             F.ceil(F.col("l") / F.lit(left_rows)).cast("int").alias("left_cells"),
             F.ceil(F.col("r") / F.lit(right_rows)).cast("int").alias("right_cells"),
+            pairs.alias("pairs"),
         )
     )
-    rows = hot.collect()  # at most MAX_HOT
-    return counts.sparkSession.createDataFrame(rows, hot.schema) if rows else None
+    keys, made = hot.agg(F.count(F.lit(1)), F.sum("pairs")).first()
+    if not keys:
+        return None
+    spark = counts.sparkSession
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return Hot(hot.drop("pairs"), max(least, min(int(made / TASK_PAIRS) + 1, MAX_TASKS)))
 
 
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
-    hot: DataFrame | None,
+    hot: Hot | None,
     left_id: str,
     right_id: str | None = None,
 ) -> DataFrame:
@@ -76,13 +95,14 @@ def spread_join(
     """
     if hot is None:
         return left.join(right, keys)
-    listed = F.broadcast(hot)
+    cells = ["left_cells_at", "right_cells_at"]
 
     def deal(df: DataFrame, row_id: str | None, own: str, other: str) -> DataFrame:
-        cells = F.coalesce(F.col(own), F.lit(1))
+        own_cells = F.coalesce(F.col(own), F.lit(1))
         copies = F.coalesce(F.col(other), F.lit(1))
-        at = F.pmod(F.xxhash64(F.col(row_id)), cells).cast("int") if row_id else F.lit(0)
-        placed = df.withColumn("key_hash", _hash(keys)).join(listed, "key_hash", "left")
+        at = F.pmod(F.xxhash64(F.col(row_id)), own_cells).cast("int") if row_id else F.lit(0)
+        # An ordinary join: few hot keys are broadcast, many are not.
+        placed = df.withColumn("key_hash", _hash(keys)).join(hot.cells, "key_hash", "left")
         placed = placed.withColumn(own + "_at", at)
         if row_id and not right_id:  # nothing on this side is copied
             placed = placed.withColumn(other + "_at", F.lit(0))
@@ -90,9 +110,9 @@ def spread_join(
             placed = placed.withColumn(
                 other + "_at", F.explode(F.sequence(F.lit(0), copies - 1))
             )
-        return placed.drop("key_hash", "left_cells", "right_cells")
+        placed = placed.drop("key_hash", "left_cells", "right_cells")
+        return placed.repartition(hot.tasks, *keys, *cells)
 
-    cells = ["left_cells_at", "right_cells_at"]
     return (
         deal(left, left_id, "left_cells", "right_cells")
         .join(deal(right, right_id, "right_cells", "left_cells"), [*keys, *cells])

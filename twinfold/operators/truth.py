@@ -58,11 +58,16 @@ def evaluate_blocking(
     )
 
     def share(part: str, whole: str):
-        return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
+        ratio = F.col(part).cast("double") / F.col(whole).cast("double")
+        return F.when(F.col(whole) > 0, ratio).otherwise(F.lit(0.0))
 
     return (
         counts.withColumn(
-            "all_pairs", F.col("s1_records") * (F.col("s2_records") + F.col("s3_records"))
+            "all_pairs",
+            (
+                F.col("s1_records").cast("decimal(19,0)")
+                * (F.col("s2_records") + F.col("s3_records")).cast("decimal(19,0)")
+            ).cast("decimal(38,0)"),
         )
         .withColumn("missed_pairs", F.col("true_pairs") - F.col("captured_pairs"))
         .withColumn("recall", share("captured_pairs", "true_pairs"))

@@ -357,6 +357,27 @@ def checks(entities: str, known: str) -> str:
         WHERE candidate_entity_id NOT IN (SELECT entity_id FROM c WHERE {known}))"""
 
 
+# Faults counted from the lists that hold them: ``twice`` repeats rows, ``marred`` has stray matches.
+PLANTED_CHECKS = """
+      WITH entity AS (SELECT DISTINCT entity_id FROM s1),
+      twice AS (SELECT * FROM entity UNION ALL SELECT * FROM entity WHERE entity_id LIKE '%7'),
+      again AS (SELECT count(*) - 1 AS extra FROM twice GROUP BY entity_id),
+      marred AS (
+        SELECT p.source1_entity_id, p.candidate_entity_id
+        FROM predicted p JOIN twice ON source1_entity_id = entity_id
+        UNION ALL SELECT entity_id, 'stray-' || entity_id FROM twice WHERE entity_id LIKE '%3'),
+      difference AS (SELECT abs((SELECT count(*) FROM twice) - (SELECT count(*) FROM entity)) AS n)
+      SELECT 'matches_row_difference' AS check_name, n AS violations FROM difference
+      UNION ALL SELECT 'candidates_row_difference', n FROM difference
+      UNION ALL SELECT 'matches_duplicate_entities', CAST(sum(extra) AS BIGINT) FROM again
+      UNION ALL SELECT 'candidates_duplicate_entities', CAST(sum(extra) AS BIGINT) FROM again
+      UNION ALL SELECT 'matches_outside_candidates', count(*) FROM marred m
+        WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.source1_entity_id = m.source1_entity_id
+                          AND p.candidate_entity_id = m.candidate_entity_id)
+      UNION ALL SELECT 'unknown_matched_ids', count(DISTINCT candidate_entity_id) FROM marred
+        WHERE candidate_entity_id NOT IN (SELECT entity_id FROM c)"""
+
+
 def sample_key(ids: str) -> str:
     return f"md5(concat_ws(',', {ids}, '42'))"
 
@@ -465,11 +486,11 @@ ORACLE: dict[str, str] = {
     "ngram_new_pairs": lines(f"SELECT * FROM topk EXCEPT ({EXACT})", NGRAM),
     "block_ngram": lines(f"SELECT * FROM topk UNION {COMBINED}", NGRAM),
     "truth_pairs": lines("SELECT * FROM truth", TRUTH),
-    "blocking_quality": lines(QUALITY, TRUTH, pairs_cte(capped(20, 20))),
+    "blocking_quality": lines(QUALITY, TRUTH, LOW),
     "missed_pairs": lines("SELECT * FROM missed", TRUTH, LOW, MISSED),
     "missed_details": lines(DETAILS, TRUTH, LOW, MISSED),
     "missed_details_sample": lines(
-        f"""SELECT * FROM ({DETAILS}) ORDER BY {sample_key(BOTH)}, {BOTH} LIMIT 20""",
+        f"""SELECT * FROM ({DETAILS}) ORDER BY {sample_key(BOTH)}, {BOTH} LIMIT 7""",
         TRUTH, LOW, MISSED,
     ),
     "pair_features_lines": lines("SELECT * FROM features", CAPPED, FEATURES),
@@ -560,6 +581,7 @@ ORACLE: dict[str, str] = {
         id_lists("s1", "predicted", "matched_entity_ids"), CAPPED, FEATURES, PREDICTED
     ),
     "output_checks": lines(checks("s1", "true"), CAPPED, FEATURES, PREDICTED),
+    "output_checks_planted": lines(f"SELECT * FROM ({PLANTED_CHECKS})", CAPPED, FEATURES, PREDICTED),
     "output_checks_wrong_table": lines(
         checks("(SELECT * FROM c WHERE entity_id LIKE 'S2-%')", "entity_id LIKE 'S3-%'"),
         CAPPED, FEATURES, PREDICTED,

@@ -293,7 +293,7 @@ def truth_pairs(c: Cards) -> DataFrame:
 
 @query
 def blocking_quality(c: Cards) -> DataFrame:
-    pairs = stage(exact.capped_block(c.s1, c.candidates, name_cap=20, address_cap=20))
+    pairs = stage(exact.capped_block(c.s1, c.candidates, name_cap=2, address_cap=2))
     quality = truth.evaluate_blocking(pairs, stage(_truth(c)), c.s1, c.s2, c.s3)
     return _rounded(quality, "recall", "candidate_ratio", "reduction")
 
@@ -313,7 +313,7 @@ def missed_details(c: Cards) -> DataFrame:
 @query
 def missed_details_sample(c: Cards) -> DataFrame:
     pairs = stage(exact.capped_block(c.s1, c.candidates, name_cap=2, address_cap=2))
-    return truth.missed_details(pairs, stage(_truth(c)), c.s1, c.candidates, sample=20)
+    return truth.missed_details(pairs, stage(_truth(c)), c.s1, c.candidates, sample=7)
 
 
 # --- features and similarity -------------------------------------------------
@@ -452,7 +452,7 @@ def _fitted(c: Cards) -> tuple[matcher.Matcher, DataFrame]:
     key = (c.spark.sparkContext.applicationId, c.sf_dir)
     if key not in _matchers:
         sample = matcher.training_sample(features, stage(_truth(c)))
-        settings = matcher.TreeSettings(rounds=10, min_rows_per_leaf=5)
+        settings = matcher.TreeSettings(min_rows_per_leaf=5)
         _matchers[key] = matcher.fit_matcher(sample, settings=settings)
     return _matchers[key], features
 
@@ -523,6 +523,24 @@ def output_checks(c: Cards) -> DataFrame:
 
 @query
 def output_checks_wrong_table(c: Cards) -> DataFrame:
-    """Lists of the candidate table S2 checked against S1: every check can fire."""
+    """Lists of S1 checked as if S2 were the reference list: counts and ids do not fit."""
     matches, candidates = outputs.build_outputs(c.s1, *_predicted(c))
     return outputs.validate_outputs(stage(matches), stage(candidates), c.s2, c.s3, c.s3)
+
+
+@query
+def output_checks_planted(c: Cards) -> DataFrame:
+    """Lists with planted faults: a row of every entity whose number ends in 7 is repeated, and
+    every entity whose number ends in 3 gets a match that is neither a candidate nor known."""
+    matches, candidates = outputs.build_outputs(c.s1, *_predicted(c))
+    repeated = F.col(PAIR[0]).endswith("7")
+    stray = F.concat(F.lit("stray-"), F.col(PAIR[0]))
+    listed = F.when(F.col("matched_entity_ids") == "", stray).otherwise(
+        F.concat_ws(",", "matched_entity_ids", stray)
+    )
+    marred = matches.withColumn(
+        "matched_entity_ids",
+        F.when(F.col(PAIR[0]).endswith("3"), listed).otherwise(F.col("matched_entity_ids")),
+    )
+    twice = lambda df: df.unionByName(df.where(repeated))
+    return outputs.validate_outputs(stage(twice(marred)), stage(twice(candidates)), c.s1, c.s2, c.s3)

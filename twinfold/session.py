@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CLUSTER_CONF = {
@@ -73,5 +74,7 @@ def stage(df: DataFrame) -> DataFrame:
 
 def together(*steps: Callable[[], Any]) -> list[Any]:
     """Results of independent steps that each run a Spark job, run side by side."""
+    # Threads take over the job group and the scheduler pool of the caller.
+    inherit = inheritable_thread_target(SparkSession.builder.getOrCreate())
     with ThreadPoolExecutor(len(steps)) as pool:
-        return list(pool.map(lambda step: step(), steps))
+        return list(pool.map(lambda step: step(), [inherit(s) for s in steps]))
