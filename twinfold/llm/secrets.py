@@ -223,12 +223,16 @@ def listed(spans: list[Span]) -> str:
 
 def sample(documents: DataFrame) -> list[str]:
     """Texts to fit on, by a hash of the id: ``SAMPLE_WITH`` that may have base spans and
-    ``SAMPLE_WITHOUT`` others."""
+    ``SAMPLE_WITHOUT`` others.  Only hashes are sorted; texts are read for those chosen."""
     rows = documents.select(text_or_empty().alias("text"), F.xxhash64("doc_id").alias("draw"))
     hint = F.col("text").rlike(BASE_HINT)
     out = []
     for which, most in ((hint, SAMPLE_WITH), (~hint, SAMPLE_WITHOUT)):
-        out += [r["text"] for r in rows.where(which).orderBy("draw", F.length("text")).limit(most).collect()]
+        drawn = rows.where(which).select("draw").orderBy("draw").limit(most)
+        last = drawn.agg(F.max("draw")).first()[0]
+        if last is not None:
+            chosen = rows.where((F.col("draw") <= last) & which).orderBy("draw", F.length("text"), "text")
+            out += [r["text"] for r in chosen.limit(most).collect()]
     return out
 
 
