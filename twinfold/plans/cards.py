@@ -3,7 +3,8 @@
 ``line_cards``: the whole text of every document, two lines per record (a name
 line and the address line under it; the last record of a text with an odd
 number of lines has no address), country = language, copies and near copies
-included.  ``part_cards``: one record per part, with short names.
+included.  ``part_cards``: one record per part, with short names.  ``dirty_cards``: line
+cards with missing and blank values.
 """
 
 from __future__ import annotations
@@ -18,6 +19,15 @@ from twinfold.operators.skew import hot_keys, spread_join
 from twinfold.session import stage
 from twinfold.sources.entities import spread_small
 
+# Queries over the line cards that run over the dirty ones too.
+ALSO_DIRTY = [
+    "entity_view", "profile_blanks", "profile_columns_all", "name_top20", "address_top20",
+    "name_freq_summary", "address_freq_summary", "clean_country_counts", "rare_tokens_address",
+    "token_buckets", "token_country_top15", "name_token_pairs_cap10", "exact_name_pairs",
+    "exact_address_pairs", "block_capped_low", "block_combined", "ngram_frequency", "ngram_topk",
+    "ngram_topk_low", "truth_pairs", "blocking_quality", "pair_features_lines", "output_candidates",
+]
+
 
 class Cards:
     """The three tables of one card table, told apart by ``origin``."""
@@ -87,6 +97,19 @@ def line_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dirty_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line cards with faults by the number of their document: no address where 17 divides
+    it, a name of spaces where 19 does, and no country where 23 does."""
+    number = F.split("entity_id", "-")[1].cast("long")
+    return line_cards(spark, sf_dir).withColumns(
+        {
+            "clean_name": F.when(number % 19 == 0, "   ").otherwise(F.col("clean_name")),
+            "clean_address": F.when(number % 17 != 0, F.col("clean_address")),
+            "clean_country": F.when(number % 23 != 0, F.col("clean_country")),
+        }
+    )
+
+
 def part_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands 1-8 are the reference list, 9-16 and 17-25 the candidate tables."""
     parts = spread_small(spark.read.parquet(f"{sf_dir}/part.parquet"), "p_partkey")

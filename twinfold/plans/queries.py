@@ -5,18 +5,33 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from twinfold.operators import exact, matcher, metrics, ngrams, outputs, profile, tokens, truth
+from twinfold.operators.counts import count_rows, one_row
 from twinfold.operators.features import RAW_TEXT, pair_features
 from twinfold.operators.pairs import block_coverage, new_pairs, union_pairs
 from twinfold.operators.sampling import grouped_split, keyed_sample
 from twinfold.operators.similarity import fuzzy_features
-from twinfold.plans.cards import Cards, line_cards, part_cards, truth_lists
+from twinfold.plans.cards import ALSO_DIRTY, Cards, dirty_cards, line_cards, part_cards, truth_lists
+from twinfold.plans.jobs import save_matcher, score_job
 from twinfold.session import shared_folder, stage, together
-from twinfold.sources.entities import PAIR, candidates_of, read_id_lists
-from twinfold.sources.sinks import write_tsv
+from twinfold.sources.entities import (
+    ENTITY,
+    PAIR,
+    candidates_of,
+    read_entities,
+    read_id_lists,
+    text_schema,
+)
+from twinfold.sources.sinks import (
+    write_parquet,
+    write_positive_pairs,
+    write_record,
+    write_report,
+    write_tsv,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,12 +39,11 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(build: Callable[[Cards], DataFrame]) -> Callable[[Cards], DataFrame]:
-    """Registers a query over the line cards."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Cards(spark, sf_dir, line_cards))
-
-    REGISTRY[build.__name__] = run
+    """Registers a query over the line cards, and over the dirty ones if it is listed there."""
+    name = build.__name__
+    REGISTRY[name] = lambda spark, sf_dir: build(Cards(spark, sf_dir, line_cards))
+    if name in ALSO_DIRTY:
+        REGISTRY[f"{name}_dirty"] = lambda spark, sf_dir: build(Cards(spark, sf_dir, dirty_cards))
     return build
 
 
@@ -50,15 +64,15 @@ def _truth(c: Cards) -> DataFrame:
 # --- tables and profiles -----------------------------------------------------
 
 
-def entity_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_cards(spark, sf_dir)
+@query
+def entity_view(c: Cards) -> DataFrame:
+    return c.all
 
 
 def part_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_cards(spark, sf_dir)
 
 
-REGISTRY["entity_view"] = entity_view
 REGISTRY["part_view"] = part_view
 
 
@@ -82,6 +96,23 @@ def profile_duplicates(c: Cards) -> DataFrame:
     return profile.duplicate_counts(c.candidates.select("clean_name", "clean_country"), "clean_name")
 
 
+@query
+def profile_columns_all(c: Cards) -> DataFrame:
+    tables = zip(("S1", "S2", "S3"), (c.s1, c.s2, c.s3))
+    one, two, three = [profile.profile_table(t).withColumn("origin", F.lit(o)) for o, t in tables]
+    return one.unionByName(two).unionByName(three)
+
+
+@query
+def profile_duplicates_planted(c: Cards) -> DataFrame:
+    """All records; those whose id ends in 7 are repeated, and of those whose id ends in 3 there is
+    a second version in another country."""
+    cards = c.all.drop("origin")
+    again = cards.where(F.col("entity_id").endswith("7"))
+    other = cards.where(F.col("entity_id").endswith("3")).withColumn("country", F.lit("elsewhere"))
+    return profile.duplicate_counts(cards.unionByName(again).unionByName(other))
+
+
 @query
 def name_top20(c: Cards) -> DataFrame:
     return profile.top_values(c.candidates, "clean_name")
@@ -507,12 +538,16 @@ def output_candidates(c: Cards) -> DataFrame:
     return outputs.build_outputs(c.s1, *_predicted(c))[1]
 
 
+def _new_path(c: Cards) -> str:
+    """In the application's part of the shared folder, as staged tables."""
+    return f"{shared_folder(c.spark)}/{c.spark.sparkContext.applicationId}/files-{uuid.uuid4().hex}"
+
+
 @query
 def output_read_back(c: Cards) -> DataFrame:
-    spark = c.s1.sparkSession
-    path = f"{shared_folder(spark)}/matches-{uuid.uuid4().hex}"
+    path = _new_path(c)
     write_tsv(outputs.build_outputs(c.s1, *_predicted(c))[0], path, sort_by=PAIR[0])
-    return read_id_lists(spark, path, "matched_entity_ids")
+    return read_id_lists(c.spark, path, "matched_entity_ids")
 
 
 @query
@@ -544,3 +579,105 @@ def output_checks_planted(c: Cards) -> DataFrame:
     )
     twice = lambda df: df.unionByName(df.where(repeated))
     return outputs.validate_outputs(stage(twice(marred)), stage(twice(candidates)), c.s1, c.s2, c.s3)
+
+
+# --- files written and read back -----------------------------------------------
+
+
+@query
+def tsv_read_back(c: Cards) -> DataFrame:
+    """The second table written to a path replaces the first; empty texts come back as NULL."""
+    path = f"{_new_path(c)}.tsv"
+    write_tsv(c.s1.select(*ENTITY), path)
+    write_tsv(c.candidates.select(*ENTITY), path)
+    return read_entities(c.spark, path)
+
+
+@query
+def parquet_read_back(c: Cards) -> DataFrame:
+    path = f"{_new_path(c)}.parquet"
+    write_parquet(c.s1, path)
+    write_parquet(c.candidates, path, codec=None)
+    return read_entities(c.spark, path, [*ENTITY, "country"])
+
+
+@query
+def sorted_file_order(c: Cards) -> DataFrame:
+    """How many rows of a sorted export stand after a larger id, in their file or an earlier one."""
+    path = f"{_new_path(c)}.tsv"
+    write_tsv(c.candidates.select(*ENTITY), path, sort_by="entity_id")
+    rows = c.spark.read.csv(path, sep="\t", header=True, schema=text_schema(ENTITY)).select(
+        "entity_id",
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    inside = Window.partitionBy("file").orderBy("block", "place")
+    files = (
+        rows.withColumn("before", F.lag("entity_id").over(inside))
+        .groupBy("file")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("before") > F.col("entity_id")).alias("inside"),
+            F.min("entity_id").alias("first"),
+            F.max("entity_id").alias("last"),
+        )
+    )
+    # One row per file from here on.
+    late = F.lag("last").over(Window.orderBy("file")) > F.col("first")
+    return files.withColumn("late", F.coalesce(late, F.lit(False)).cast("long")).agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("inside") + F.col("late")).alias("misplaced")
+    )
+
+
+@query
+def positive_pairs_read_back(c: Cards) -> DataFrame:
+    path = _new_path(c)
+    write_positive_pairs(_predicted(c)[1], path)
+    return c.spark.read.csv(path, sep="\t", header=True, schema=text_schema(PAIR))
+
+
+@query
+def report_read_back(c: Cards) -> DataFrame:
+    path, sweep = _new_path(c), threshold_sweep(c)
+    write_report(sweep, path)
+    return c.spark.read.csv(path, header=True, schema=sweep.schema)
+
+
+@query
+def record_read_back(c: Cards) -> DataFrame:
+    path, best = _new_path(c), best_threshold(c)
+    write_record(best, path)
+    return c.spark.read.schema(best.schema).json(path)
+
+
+@query
+def matcher_checks(c: Cards) -> DataFrame:
+    """A fitted matcher saved, loaded and applied to all pairs, and what must hold of its files."""
+    fitted, features = _fitted(c)
+    folder = _new_path(c)
+    save_matcher(fitted, folder)
+    table = f"{folder}/features.parquet"
+    write_parquet(features, table)
+    scored = score_job(c.spark, table, folder, f"{folder}/scores", f"{folder}/positives")
+    first = score_job(c.spark, table, folder, f"{folder}/first", limit=10)
+    threshold = c.spark.read.json(f"{folder}/threshold.json").first()["threshold"]
+    importance = c.spark.read.csv(
+        f"{folder}/feature_importance.csv", header=True, schema="feature string, importance double"
+    )
+    listed = c.spark.read.csv(f"{folder}/positives", sep="\t", header=True, schema=text_schema(PAIR))
+    p = F.col("match_probability")
+    said = scored.where("prediction = 1").select(*PAIR)
+    counts = metrics.confusion(matcher.label_pairs(scored, _truth(c)))
+    return one_row(
+        pairs=count_rows(scored),
+        outside_unit_range=count_rows(scored.where(p.isNull() | ~p.between(0, 1))),
+        wrong_predictions=count_rows(scored.where(F.col("prediction") != (p >= threshold).cast("int"))),
+        wrongly_listed=count_rows(listed.exceptAll(said).unionByName(said.exceptAll(listed))),
+        known_matches=counts.select(F.expr("true_positives + false_negatives").alias("n")),
+        others=counts.select(F.expr("false_positives + true_negatives").alias("n")),
+        features=count_rows(importance),
+        importance_millionths=importance.agg(F.round(F.sum("importance") * 1e6).alias("n")),
+        sweep_rows=count_rows(c.spark.read.csv(f"{folder}/threshold_search.csv", header=True)),
+        first_rows_scored=count_rows(first.join(scored, [*PAIR, "match_probability"], "left_semi")),
+    )
