@@ -7,7 +7,8 @@ import os
 import time
 from pathlib import Path
 
-from twinfold.plans.queries import REGISTRY
+from twinfold.plans.cards import Cards, line_cards, part_cards
+from twinfold.plans.queries import REGISTRY, scored_lines
 from twinfold.session import local_session
 
 HEADLINE = [
@@ -41,6 +42,16 @@ def main() -> None:
     spark = local_session(cores, shuffle_partitions=2 * int(cores))
     spark.range(1).count()  # starts the engine; not part of any query
     timings = {}
+    # Tables that several queries share, so that no query pays for another.
+    shared = {
+        "prepare_line_cards": lambda: Cards(spark, sf_dir, line_cards),
+        "prepare_part_cards": lambda: Cards(spark, sf_dir, part_cards),
+        "prepare_scored_lines": lambda: scored_lines(Cards(spark, sf_dir, line_cards)),
+    }
+    for name, build in shared.items():
+        start = time.perf_counter()
+        build()
+        timings[name] = round(time.perf_counter() - start, 3)
     for name in HEADLINE:
         start = time.perf_counter()
         REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

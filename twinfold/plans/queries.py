@@ -428,7 +428,7 @@ def _closeness(one: str, two: str):
     return F.when(longer == 0, F.lit(0)).otherwise(part)
 
 
-def _scored_lines(c: Cards) -> DataFrame:
+def scored_lines(c: Cards) -> DataFrame:
     """Labelled pairs with a score made of equal texts and similar lengths."""
     return c.derived("scored", lambda: _score_lines(c))
 
@@ -449,30 +449,30 @@ def _score_lines(c: Cards) -> DataFrame:
 
 @query
 def threshold_sweep(c: Cards) -> DataFrame:
-    return _rounded(metrics.threshold_sweep(_scored_lines(c)), "threshold", "precision", "recall", "f0_5")
+    return _rounded(metrics.threshold_sweep(scored_lines(c)), "threshold", "precision", "recall", "f0_5")
 
 
 @query
 def best_threshold(c: Cards) -> DataFrame:
-    best = metrics.best_threshold(metrics.threshold_sweep(_scored_lines(c)))
+    best = metrics.best_threshold(metrics.threshold_sweep(scored_lines(c)))
     return _rounded(best, "threshold", "precision", "recall", "f0_5")
 
 
 @query
 def confusion_counts(c: Cards) -> DataFrame:
     said = (F.col("match_probability") >= 0.9).cast("int")
-    counts = metrics.confusion(_scored_lines(c).withColumn("prediction", said))
+    counts = metrics.confusion(scored_lines(c).withColumn("prediction", said))
     return _rounded(counts, "precision", "recall", "f0_5")
 
 
 @query
 def roc_auc(c: Cards) -> DataFrame:
-    return _rounded(metrics.roc_auc(_scored_lines(c)), "roc_auc")
+    return _rounded(metrics.roc_auc(scored_lines(c)), "roc_auc")
 
 
 @query
 def average_precision(c: Cards) -> DataFrame:
-    return _rounded(metrics.average_precision(_scored_lines(c)), "average_precision")
+    return _rounded(metrics.average_precision(scored_lines(c)), "average_precision")
 
 
 _matchers: dict[tuple[str, str], matcher.Matcher] = {}
