@@ -147,6 +147,17 @@ def test_field_finds_what_the_patterns_miss(documents):
     assert tagger.spans("Nothing but ordinary words stands here, and 12 of them.") == []
     short = 'Words before token "9f8a7b6c5d4e3f2a1b0c92" and words after it.'
     assert not secrets.base_spans(short) and tagger.spans(short) == [(20, 42)]
+    for bare in ("wJalrXUtnFEMIK7MDENGbPxRfiCYqz81", "QX7ZK2M94TTB0LPA6WRC", "k3j9x0qz7w1m5v8b2n4c6t"):
+        text = f"Their key is {bare} since last week."
+        assert not secrets.base_spans(text) and tagger.spans(text) == [(13, 13 + len(bare))]
+
+
+def test_redrawn_secrets_lie_where_they_are_said_to():
+    text = "before password = 'hunter2hunter2' and after"
+    for variant, [(start, end)] in secrets.redrawn(text, np.random.default_rng(5)):
+        assert variant.startswith("before ") and variant.endswith(" and after")
+        assert 16 <= end - start <= 48 and variant[start:end].isalnum()
+        assert variant[:start] in ("before ", "before password = '")
 
 
 def test_cut_viterbi_is_the_whole_viterbi():

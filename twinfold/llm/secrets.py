@@ -3,8 +3,10 @@
 Base patterns find assignments of named secrets, access keys and long hexadecimal runs.
 The field tags tokens as the beginning (B) or the inside (I) of a secret or as outside (O),
 from the token's shape and text, the tokens next to it and features of the whole text.  It
-is fitted on a bounded sample whose tokens inside base spans are labelled B and I, and adds
-the secrets it finds elsewhere, decoded by Viterbi.
+is fitted on a bounded sample whose tokens inside base spans are labelled B and I, and on variants
+of its secrets: other characters, other alphabets, without the name in front.  So it learns
+what secrets look like, not only the patterns, and adds those it finds elsewhere, decoded by
+Viterbi.
 
 Nearly all tokens are words whose score for O is out of reach of the other tags whatever
 their neighbours are.  There the best path is O for certain, so the chain falls into
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,13 @@ PLACES = 3
 # Bounds of the sample that the model is fitted on.
 SAMPLE_WITH, SAMPLE_WITHOUT = 150, 100
 
+# Variants of each secret of the sample, and the text kept on either side of one.
+VARIANTS, AROUND, BARE = 4, 120, 0.75
+QUOTES = "\"' "
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+DIGITS = "0123456789"
+ALPHABETS = (DIGITS + LOWER[:6], DIGITS + LOWER, DIGITS + LOWER.upper(), DIGITS + LOWER + LOWER.upper())
+
 Span = tuple[int, int, int]  # start, number of the kind, end
 
 
@@ -113,16 +123,34 @@ def file_features(text: str) -> list[int]:
     )
 
 
+def redrawn(text: str, rng: np.random.Generator) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Stretches of ``text`` around its secrets with other secrets in their place, bare or behind
+    their name, and where these lie."""
+    whole = [(a, b) for a, _, b in base_spans(text)]
+    for start, end in secret_parts(text):
+        named = min((a for a, b in whole if a <= start < b), default=start)
+        before, after = text[max(named - AROUND, 0) : named], text[end : end + AROUND]
+        for _ in range(VARIANTS):
+            letters = ALPHABETS[rng.integers(len(ALPHABETS))]
+            drawn = "".join(letters[i] for i in rng.integers(0, len(letters), rng.integers(16, 49)))
+            bare = rng.random() < BARE
+            lead = before if bare else before + text[named:start]
+            tail = " " + after.lstrip(QUOTES) if bare else after
+            yield lead + drawn + tail, [(len(lead), len(lead) + len(drawn))]
+
+
 def fit(texts: list[str]) -> Chain:
-    """The field fitted on texts labelled by the base patterns.
+    """The field fitted on texts labelled by the base patterns, and on variants of their secrets.
 
     File features enter as one further kind in front of each text's tokens: they are added
     to all tokens of the text when scoring, and learned from the same sums.
     """
     kinds: dict[str, int] = {}
     tokens, labels, files = [], [], []
-    for text in texts:
-        parts = secret_parts(text)
+    rng = np.random.default_rng(0)
+    labelled = [(t, secret_parts(t)) for t in texts]
+    labelled += [v for t in texts for v in redrawn(t, rng)]
+    for text, parts in labelled:
         row, tags = [], []
         for m in TOKEN.finditer(text):
             row.append(kinds.setdefault(m[0], len(kinds)))
