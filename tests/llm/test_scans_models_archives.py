@@ -147,17 +147,29 @@ def test_field_finds_what_the_patterns_miss(documents):
     assert tagger.spans("Nothing but ordinary words stands here, and 12 of them.") == []
     short = 'Words before token "9f8a7b6c5d4e3f2a1b0c92" and words after it.'
     assert not secrets.base_spans(short) and tagger.spans(short) == [(20, 42)]
+
+
+def test_field_finds_bare_keys_of_other_alphabets(documents):
+    plain = [t[:600] for (t,) in rows_of(documents.orderBy("doc_id"), "text") if t][: secrets.SAMPLE_WITHOUT]
+    named = [
+        f'{plain[i % 100][:300]} token = "{hashlib.sha1(str(i).encode()).hexdigest()}" {plain[i % 100][300:]}'
+        for i in range(secrets.SAMPLE_WITH)
+    ]
+    tagger = secrets.Tagger(secrets.fit(named + plain))
     for bare in ("wJalrXUtnFEMIK7MDENGbPxRfiCYqz81", "QX7ZK2M94TTB0LPA6WRC", "k3j9x0qz7w1m5v8b2n4c6t"):
         text = f"Their key is {bare} since last week."
         assert not secrets.base_spans(text) and tagger.spans(text) == [(13, 13 + len(bare))]
+    assert tagger.spans("They met 12 people in 1998, at 10 o'clock, on www.example.org.") == []
 
 
 def test_redrawn_secrets_lie_where_they_are_said_to():
-    text = "before password = 'hunter2hunter2' and after"
-    for variant, [(start, end)] in secrets.redrawn(text, np.random.default_rng(5)):
-        assert variant.startswith("before ") and variant.endswith(" and after")
+    texts = ["before password = 'hunter2hunter2' and after", "", "nospace"]
+    found = list(secrets.redrawn(texts, np.random.default_rng(5)))
+    assert len(found) == secrets.VARIANTS
+    for variant, ((start, end), *_) in found:
         assert 16 <= end - start <= 48 and variant[start:end].isalnum()
-        assert variant[:start] in ("before ", "before password = '")
+        assert not variant[:start].strip()[-1:].isalnum() or variant[start - 1] == " "
+    assert not list(secrets.redrawn(["no secret here", ""], np.random.default_rng(5)))
 
 
 def test_cut_viterbi_is_the_whole_viterbi():

@@ -4,9 +4,8 @@ Base patterns find assignments of named secrets, access keys and long hexadecima
 The field tags tokens as the beginning (B) or the inside (I) of a secret or as outside (O),
 from the token's shape and text, the tokens next to it and features of the whole text.  It
 is fitted on a bounded sample whose tokens inside base spans are labelled B and I, and on variants
-of its secrets: other characters, other alphabets, without the name in front.  So it learns
-what secrets look like, not only the patterns, and adds those it finds elsewhere, decoded by
-Viterbi.
+of its secrets: other characters, other alphabets, between other words.  So it learns what
+secrets look like, not only the patterns, and adds those it finds elsewhere, decoded by Viterbi.
 
 Nearly all tokens are words whose score for O is out of reach of the other tags whatever
 their neighbours are.  There the best path is O for certain, so the chain falls into
@@ -49,7 +48,6 @@ SAMPLE_WITH, SAMPLE_WITHOUT = 150, 100
 
 # Variants of each secret of the sample, and the text kept on either side of one.
 VARIANTS, AROUND, BARE = 4, 120, 0.75
-QUOTES = "\"' "
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 DIGITS = "0123456789"
 ALPHABETS = (DIGITS + LOWER[:6], DIGITS + LOWER, DIGITS + LOWER.upper(), DIGITS + LOWER + LOWER.upper())
@@ -100,6 +98,7 @@ def token_features(token: str) -> list[list[int]]:
         f"m{mixed}{length}",
         f"x{all(c in '0123456789abcdef' for c in token)}{length}",
         f"u{token.isupper()}{mixed}",
+        f"c{min(sum(map(str.isupper, token)), 4)}{mixed}",
         f"v{10 * len(set(token)) // len(token)}{length}",
         f"s{shape(token) if mixed or not letters else 'word'}",
     ]
@@ -123,20 +122,22 @@ def file_features(text: str) -> list[int]:
     )
 
 
-def redrawn(text: str, rng: np.random.Generator) -> Iterator[tuple[str, list[tuple[int, int]]]]:
-    """Stretches of ``text`` around its secrets with other secrets in their place, bare or behind
-    their name, and where these lie."""
-    whole = [(a, b) for a, _, b in base_spans(text)]
-    for start, end in secret_parts(text):
-        named = min((a for a, b in whole if a <= start < b), default=start)
-        before, after = text[max(named - AROUND, 0) : named], text[end : end + AROUND]
-        for _ in range(VARIANTS):
-            letters = ALPHABETS[rng.integers(len(ALPHABETS))]
-            drawn = "".join(letters[i] for i in rng.integers(0, len(letters), rng.integers(16, 49)))
-            bare = rng.random() < BARE
-            lead = before if bare else before + text[named:start]
-            tail = " " + after.lstrip(QUOTES) if bare else after
-            yield lead + drawn + tail, [(len(lead), len(lead) + len(drawn))]
+def redrawn(texts: list[str], rng: np.random.Generator) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Stretches of text with other secrets, and where these lie: for each secret of ``texts`` some
+    in its place, and some bare between any words of the sample."""
+    for text in texts:
+        for start, end in secret_parts(text):
+            for _ in range(VARIANTS):
+                letters = ALPHABETS[rng.integers(len(ALPHABETS))]
+                drawn = "".join(letters[i] for i in rng.integers(0, len(letters), rng.integers(16, 49)))
+                before, after = text[:start], text[end:]
+                if rng.random() < BARE:
+                    other = texts[rng.integers(len(texts))]
+                    at = other.find(" ", rng.integers(len(other) + 1)) + 1  # 0: before all words
+                    before, after = other[:at], " " + other[at:]
+                before = before[-AROUND:]
+                variant, place = before + drawn + after[:AROUND], (len(before), len(before) + len(drawn))
+                yield variant, [place, *secret_parts(variant)]
 
 
 def fit(texts: list[str]) -> Chain:
@@ -149,7 +150,7 @@ def fit(texts: list[str]) -> Chain:
     tokens, labels, files = [], [], []
     rng = np.random.default_rng(0)
     labelled = [(t, secret_parts(t)) for t in texts]
-    labelled += [v for t in texts for v in redrawn(t, rng)]
+    labelled += redrawn(texts, rng)
     for text, parts in labelled:
         row, tags = [], []
         for m in TOKEN.finditer(text):
