@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from twinfold.llm.decontam import decontaminate
+from twinfold.llm.decontam import _map_words, decontaminate
 from twinfold.llm.exact_dedup import CuckooIndex, build_index, digest_of, exact_dedup, merge, remove
 from twinfold.llm.packing import best_plan, pack, pack_documents, pieces, plan, sequences
 from twinfold.llm.simhash import BKForest, fingerprint, simhash_components
@@ -295,6 +295,20 @@ def test_decontamination_of_awkward_rows(spark, odd):
     assert Counter(plain(none)) == brute_decontaminate(plain(odd.select("doc_id", "text")), [])
 
 
+def test_bit_map_of_any_size_gives_the_same(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    results = []
+    for least, most in ((1, 1), (1, 1 << 21)):
+        monkeypatch.setattr("twinfold.llm.decontam.MAP_WORDS", (least, most))
+        results.append(Counter(plain(decontaminate(docs, items).select(*COLUMNS))))
+    assert results[0] == results[1] and any(k[5] for k in results[0])
+
+
+def test_bit_map_grows_with_the_shingles_to_a_bound():
+    assert [_map_words(n) for n in (0, 1 << 16, 1 << 20, 1 << 40)] == [1 << 14, 1 << 15, 1 << 19, 1 << 21]
+
+
 def test_empty_tables(spark, empty):
     items = spark.createDataFrame([(1, "one")], "item_id long, text string")
     assert exact_dedup(empty).count() == 0

@@ -5,8 +5,9 @@ a document holds exactly its words, so all its shingles must occur there and one
 is prefix enough: the rarest over the documents.
 
 1. One pass over the texts keeps the places of shingles that may occur in the benchmark,
-   each with the words a window around it can cover.  The test is a bit map of fixed
-   size, a scalar subquery; a fuller map lets more places through and loses none.
+   each with the words a window around it can cover.  The test is a bit map, a scalar
+   subquery; it grows with the benchmark's shingles up to a fixed size, beyond which
+   it lets more places through and loses none.
 2. Shingles are counted at these places; each window keeps its rarest one, and a
    window with a shingle that does not occur is out.
 3. Places join windows on the prefix shingle.  The position of the shingle in the
@@ -25,7 +26,9 @@ from twinfold.session import stage
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 SHINGLE = 3
-MAP_WORDS = 1 << 14  # 64 bits each
+# The bit map, in longs of 64 bits: 16 bits a shingle, from 128 KB to 16 MB.
+MAP_WORDS = (1 << 14, 1 << 21)
+SHINGLES_PER_WORD = 4
 # Prefix rows that may be broadcast: at most a few hundred bytes each.
 BROADCAST_ROWS = 100_000
 
@@ -75,14 +78,20 @@ def _window_shingles(different: DataFrame, shingle: int) -> tuple[list[int], Dat
     return sizes, found.select("w", "words", "n", "k", F.col("s.at").alias("at"), F.col("s.h").alias("h"))
 
 
-def _bit_map(hashes: DataFrame) -> Column:
-    """The column ``h`` as ``MAP_WORDS`` longs of bits."""
+def _map_words(shingles: int) -> int:
+    """Longs of the bit map for so many different shingles: a power of two."""
+    least, most = MAP_WORDS
+    return min(max(1 << (shingles // SHINGLES_PER_WORD).bit_length(), least), most)
+
+
+def _bit_map(hashes: DataFrame, map_words: int) -> Column:
+    """The column ``h`` as ``map_words`` longs of bits."""
     slots = hashes.select(
-        F.expr(f"cast(shiftrightunsigned(h, 6) & {MAP_WORDS - 1} as int)").alias("slot"),
+        F.expr(f"cast(shiftrightunsigned(h, 6) & {map_words - 1} as int)").alias("slot"),
         F.expr("shiftleft(1L, cast(h & 63 as int))").alias("bit"),
     )
     spark = hashes.sparkSession
-    every = spark.range(MAP_WORDS).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("bit"))
+    every = spark.range(map_words).select(F.col("id").cast("int").alias("slot"), F.lit(0).cast("long").alias("bit"))
     per_slot = slots.unionByName(every).groupBy("slot").agg(F.bit_or("bit").alias("bit"))
     in_order = F.sort_array(F.collect_list(F.struct("slot", "bit")))
     return per_slot.agg(F.transform(in_order, lambda x: x["bit"]).alias("bits")).scalar()
@@ -95,6 +104,8 @@ def places(
 
     ``row_key`` is the digest of id and text, which repeated rows share.
     """
+    hashes = hashes.distinct()
+    map_words = _map_words(hashes.count()) if sizes else 0
     parts = []
     for k in sizes:
         context = (
@@ -104,7 +115,7 @@ def places(
         )
         likely = (
             f"filter({_shingles('words', k)}, s -> getbit(element_at(bits, "
-            f"cast(shiftrightunsigned(s.h, 6) & {MAP_WORDS - 1} as int) + 1), cast(s.h & 63 as int)) = 1)"
+            f"cast(shiftrightunsigned(s.h, 6) & {map_words - 1} as int) + 1), cast(s.h & 63 as int)) = 1)"
         )
         parts.append(f"transform({likely}, s -> {context})")
     kind = "array<struct<k int, at int, h bigint, since int, around array<string>>>"
@@ -117,7 +128,7 @@ def places(
         words_of(F.col("text")).alias("words"),
     )
     if parts:
-        rows = rows.withColumn("bits", _bit_map(hashes))
+        rows = rows.withColumn("bits", _bit_map(hashes, map_words))
     return rows.select(
         "doc_id",
         "row_key",
