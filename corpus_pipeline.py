@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import table
+from twinfold.llm.common import row_key, table
 from twinfold.llm.decontam import decontaminate
 from twinfold.llm.exact_dedup import exact_dedup
 from twinfold.llm.language import learned, remainder, with_language
@@ -22,15 +22,38 @@ MIN_SHARE = 0.3
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _without(docs: DataFrame, judged: DataFrame, keeps: Column) -> DataFrame:
-    """``docs`` without the ids (null included) of which no row is kept.
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``gone`` names by their ``row_key``.
 
     Those that go are the fewer, so they are what is joined.
     """
-    gone = (
-        judged.groupBy(F.col("doc_id").alias("gone_id")).agg(F.max(keeps).alias("keeps")).where("not keeps")
+    gone = gone.select(F.col("row_key").alias("gone_key"))
+    return docs.join(gone, row_key() == gone["gone_key"], "left_anti")
+
+
+def _one_of_each(docs: DataFrame, judged: DataFrame, group: str, stays: Column) -> DataFrame:
+    """One row of each group: of the rows that may stay the one with the smallest ``row_key``.
+
+    Each group has such a row, and rows of one key are in one group.
+    """
+    keys = stage(
+        judged.groupBy("row_key").agg(
+            F.first(group).alias("group"), F.first(stays).alias("stays"), F.count(F.lit(1)).alias("n")
+        )
+    )
+    chosen = stage(keys.where("stays").groupBy("group").agg(F.min("row_key").alias("row_key")))
+    gone = keys.join(chosen, "row_key", "left_anti").select("row_key")
+    repeated = stage(keys.where("n > 1").join(chosen, "row_key", "left_semi").select("row_key"))
+    if repeated.isEmpty():
+        return _without(docs, gone)
+    again = repeated.select(F.col("row_key").alias("kept_key"))
+    once = (
+        docs.join(again, row_key() == again["kept_key"], "left_semi")
+        .withColumn("kept_key", row_key())
+        .dropDuplicates(["kept_key"])
+        .drop("kept_key")
     )
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    return _without(docs, gone.unionByName(repeated)).unionByName(once)
 
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,19 +62,21 @@ def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
-    return _without(docs, exact_dedup(docs), F.col("kept"))
+    """Of equal texts one row stays, which has the largest id (or none if no row has one)."""
+    return _one_of_each(docs, exact_dedup(docs, keyed=True), "text_sha256", F.col("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    return _without(docs, simhash_components(docs), F.expr("doc_id <=> component_id"))
+    """Of each group of near copies one row stays, which has the smallest id (or none if no row
+    has one)."""
+    judged = simhash_components(docs, keyed=True)
+    return _one_of_each(docs, judged, "root", F.expr("doc_id <=> component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which a twentieth or more is benchmark text go."""
-    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, judged, ~F.col("contaminated"))
+    judged = decontaminate(docs, table(spark, sf_dir, "benchmark"), keyed=True)
+    return _without(docs, judged.where("contaminated").select("row_key").distinct())
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,12 @@ def text_or_empty() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
+def row_key() -> Column:
+    """The digest of id and text (a null text is an empty one), which repeated rows share."""
+    doc_id = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    return F.sha2(F.concat_ws(":", doc_id, text_or_empty()), 256)
+
+
 def schema_of(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 

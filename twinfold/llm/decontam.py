@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import ascii_lower, text_or_empty
+from twinfold.llm.common import ascii_lower, row_key, text_or_empty
 from twinfold.session import stage
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -124,7 +124,7 @@ def places(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")
     ).select(
         "doc_id",
-        F.sha2(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"), 256).alias("row_key"),
+        row_key().alias("row_key"),
         words_of(F.col("text")).alias("words"),
     )
     if parts:
@@ -153,7 +153,11 @@ def _prefixes(shingles: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def decontaminate(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
+    documents: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    keyed: bool = False,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
 
@@ -162,7 +166,7 @@ def decontaminate(
     twentieth of its words, and at least one, is hit.  Null and empty texts have no
     words and are clean; an item without words has no windows; a null ``item_id`` hits
     words but is not counted or listed.  Repeated rows get equal results.  Other columns
-    are not read.
+    are not read.  ``keyed`` adds the ``row_key`` of each row.
     """
     different, owners = windows(benchmark, window)
     sizes, shingles = _window_shingles(different, shingle)
@@ -211,6 +215,7 @@ def decontaminate(
         .join(items, "row_key", "left")
         .select(
             "doc_id",
+            *(["row_key"] if keyed else []),
             "n_words",
             F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
             F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),

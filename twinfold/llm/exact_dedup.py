@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import text_or_empty
+from twinfold.llm.common import row_key, text_or_empty
 from twinfold.session import stage
 
 SLOTS = 4
@@ -216,23 +216,28 @@ def remove(index: DataFrame, digests: DataFrame) -> DataFrame:
     return marked.repartition(F.col("digest")).mapInArrow(run, GROUP)
 
 
-def exact_dedup(documents: DataFrame) -> DataFrame:
+def exact_dedup(documents: DataFrame, keyed: bool = False) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Texts are equal when identical after lower-casing A-Z; a null text is an empty
     one.  The largest ``doc_id`` of equal texts stays.  Repeated rows of a ``doc_id``
     each count and share its decision.  A null ``doc_id`` only stays where no row
-    of its group has an id.  Other columns are not read.
+    of its group has an id.  Other columns are not read.  ``keyed`` adds the
+    ``row_key`` of each row.
     """
+    key = ["row_key"] if keyed else []
     rows = stage(
         documents.select(
-            F.col("doc_id").cast("long").alias("doc_id"), digest_of(text_or_empty()).alias("digest")
+            F.col("doc_id").cast("long").alias("doc_id"),
+            *(row_key().alias(k) for k in key),
+            digest_of(text_or_empty()).alias("digest"),
         )
     )
     # Joined on the digest: a hot digest is many rows on this side and one on the other,
     # which adaptive execution splits.
     return rows.join(build_index(rows), "digest").select(
         "doc_id",
+        *key,
         "keep_id",
         "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

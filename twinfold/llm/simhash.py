@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import map_batches, text_or_empty
+from twinfold.llm.common import map_batches, row_key, text_or_empty
 from twinfold.llm.components import components
 from twinfold.session import stage
 
@@ -61,8 +61,12 @@ def fingerprint(text: str, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * ones > last + 1, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(documents: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long); a null text is an empty one."""
+def fingerprints(documents: DataFrame, shingle: int = 4, keyed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long); a null text is an empty one.
+
+    ``keyed`` adds the ``row_key``.
+    """
+    key = ["row_key"] if keyed else []
 
     def start():
         def step(batch: pa.RecordBatch) -> dict:
@@ -70,12 +74,17 @@ def fingerprints(documents: DataFrame, shingle: int = 4) -> DataFrame:
             return {
                 "doc_id": batch.column("doc_id"),
                 "fp": np.array(found, np.uint64).view(np.int64),
+                **{k: batch.column(k) for k in key},
             }
 
         return step
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return map_batches(rows, "doc_id long, fp long", start)
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_or_empty().alias("text"),
+        *(row_key().alias(k) for k in key),
+    )
+    return map_batches(rows, ", ".join(["doc_id long, fp long", *(f"{k} string" for k in key)]), start)
 
 
 class BKForest:
@@ -271,23 +280,27 @@ def near_links(vertices: DataFrame, radius: int = 4) -> DataFrame:
     return dealt.mapInArrow(_forests(radius), "a long, b long")
 
 
-def simhash_components(documents: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+def simhash_components(
+    documents: DataFrame, shingle: int = 4, radius: int = 4, keyed: bool = False
+) -> DataFrame:
     """One row per document: ``doc_id, fingerprint`` (16 hex digits), ``component_id``.
 
     Documents whose fingerprints differ in at most ``radius`` bits are linked;
     ``component_id`` is the smallest ``doc_id`` reachable.  Null and empty texts have
     the fingerprint zero and are linked like any other.  Repeated rows are linked to
     each other.  A null ``doc_id`` only names a component without any id.  Other
-    columns are not read.
+    columns are not read.  ``keyed`` adds the ``row_key`` of each row and ``root``, the
+    fingerprint that names its component, as ids may be null or repeated.
     """
-    rows = stage(fingerprints(documents, shingle))
+    rows = stage(fingerprints(documents, shingle, keyed))
     vertices = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = stage(components(near_links(vertices, radius)))
     rooted = vertices.join(
         roots.select(F.col("vertex").alias("fp"), "root"), "fp", "left"
     ).withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    extra = ["row_key", "root"] if keyed else []
+    named = rooted.join(least, "root").select("fp", "component_id", *extra[1:])
     return rows.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", *extra, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
