@@ -114,7 +114,7 @@ class Chain:
         if not total:
             return self
         chunks = []
-        for rows in padded(lengths):
+        for rows in padded(lengths, max(1, CELLS * 8 // max(8, self.states))):
             steps = int(lengths[rows[0]])
             kinds = np.zeros((steps, len(rows)), np.int64)
             want = np.full((steps, len(rows)), -1)

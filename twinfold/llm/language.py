@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import map_batches, text_or_empty
-from twinfold.llm.crf import Chain, Features, KindScores, forward_backward, hashed, padded
+from twinfold.llm.crf import CELLS, Chain, Features, KindScores, forward_backward, hashed, padded
 
 WORD = re.compile(r"[^\W\d_]+")
 SIZE = 1 << 16
@@ -28,9 +28,11 @@ LEXICON_MIN = 3
 UNDETERMINED = "und"
 PORTION_CHARS = 2_000_000
 
-# Bounds of the sample that the model is fitted on.
+# Bounds of the sample that the model is fitted on.  Every language is learned; with more than
+# SAMPLE_ROWS / SAMPLE_PER_LANGUAGE of them each has fewer rows, down to SAMPLE_LEAST.
 SAMPLE_PER_LANGUAGE = 150
-LANGUAGES = 100
+SAMPLE_ROWS = 15_000
+SAMPLE_LEAST = 10
 
 
 def words_of(text: str) -> list[str]:
@@ -61,6 +63,11 @@ def _portions(texts: list[str], chars: int = PORTION_CHARS) -> Iterator[tuple[in
         yield a, len(texts)
 
 
+def cells_of(languages: int) -> int:
+    """Padded tokens that are labelled together: fewer with many languages, as each has a number a token."""
+    return max(1, CELLS * 8 // max(8, languages))
+
+
 class LanguageModel:
     def __init__(self, languages: list[str], lexicon: frozenset[str], chain: Chain):
         self.languages, self.lexicon, self.chain = languages, lexicon, chain
@@ -83,6 +90,7 @@ class Labeller:
             model.chain,
             lambda w: [word_features(w, model.lexicon)],
             lambda scores: np.exp(scores - scores.max(axis=1, keepdims=True)) + 1e-12,
+            most=max(1, 500_000 * 8 // max(8, len(model.languages))),
         )
         self.transitions = np.exp(model.chain.transitions)
 
@@ -105,7 +113,7 @@ class Labeller:
 
     def _marginals(self, words: list[list[str]]):
         lengths = np.array([len(w) for w in words], np.int64)
-        for rows in padded(lengths):
+        for rows in padded(lengths, cells_of(len(self.model.languages))):
             self.kinds.add({w for r in rows for w in words[r]})
             number = self.kinds.numbers.__getitem__
             steps = int(lengths[rows[0]])
@@ -143,21 +151,30 @@ def fit(rows: list[tuple[str, str]], seed: int = 0) -> LanguageModel:
 
 
 def sample(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """About ``per_language`` (text, lang) rows of each of the ``LANGUAGES`` commonest languages,
-    chosen by a hash of id and text."""
+    """About ``per_language`` (text, lang) rows of every language, and fewer of each if there are
+    very many languages, chosen by a hash of id and text; at least one row of each."""
     rows = documents.where("lang is not null and text is not null").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id"
+        F.col("lang").cast("string").alias("lang"),
+        F.col("text").cast("string").alias("text"),
+        F.xxhash64("doc_id", "text", F.lit("sample")).alias("draw"),
     )
-    counts = (
-        rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    ).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("draw").alias("least")).collect()
     if not counts:
         return []
-    share = F.lit(0.0)
-    for lang, n in counts:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = rows.where(draw < share).orderBy(F.xxhash64("doc_id"), "lang").limit(2 * per_language * len(counts))
+    wanted = min(per_language, max(SAMPLE_LEAST, SAMPLE_ROWS // len(counts)))
+    shares = documents.sparkSession.createDataFrame(
+        [(r["lang"], r["least"], min(1.0, wanted / r["n"])) for r in counts],
+        "lang string, least long, share double",
+    )
+    part = F.pmod("draw", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = (
+        rows.join(F.broadcast(shares), "lang")
+        .where((part < F.col("share")) | (F.col("draw") == F.col("least")))
+        .groupBy("lang", "draw")  # repeated rows count once
+        .agg(F.first("text").alias("text"), F.first(F.col("draw") != F.col("least")).alias("further"))
+        .orderBy("further", "draw", "lang")
+        .limit((2 * wanted + 1) * len(counts))
+    )
     return [(r["text"], r["lang"]) for r in picked.select("text", "lang").collect()]
 
 
@@ -183,7 +200,7 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     and any text if nothing could be learned get ``und`` and 0.  Of equal shares the first
     language by name counts.  Only the text is used.  Rows are labelled each on their own.
     """
-    shipped = documents.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    shipped = documents.sparkSession.sparkContext.broadcast(model)  # its size grows with the languages only
 
     def start():
         labeller = shipped.value.labeller()
