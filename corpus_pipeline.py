@@ -16,9 +16,6 @@ from twinfold.llm.queries import TOKENIZER
 from twinfold.llm.simhash import simhash_components
 from twinfold.session import stage
 
-# A text of which no language has this share of the words is in none of them.
-MIN_SHARE = 0.3
-
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -57,8 +54,8 @@ def _one_of_each(docs: DataFrame, judged: DataFrame, group: str, stays: Column)
 
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in no learned language, go."""
-    return with_language(docs, learned(docs, remainder() == 0), MIN_SHARE)
+    """Documents without a letter go; if no language can be learned, none does."""
+    return with_language(docs, learned(docs, remainder() == 0))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

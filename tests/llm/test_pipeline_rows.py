@@ -53,3 +53,18 @@ def test_contaminated_rows_go_whatever_their_id(spark, frame):
     given = [(None, A), (None, item), (5, item), (5, B), (5, B)]
     out = rows(STAGE["decontamination"](spark, frame(given), SF))
     assert out == Counter([(None, A), (5, B), (5, B)])
+
+
+def test_language_stage_keeps_evenly_mixed_texts(spark):
+    from pyspark.sql import functions as F
+    from test_many_languages import texts
+
+    langs = [f"l{k}" for k in range(8)]
+    given = [(10 * k + j, t, x) for k, x in enumerate(langs) for j, t in enumerate(texts(x, 6))]
+    mixed = " ".join(" ".join(texts(x, 1)[0].split()[:8]) for x in langs)
+    ddl = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame([*given, (1000, mixed, None), (1001, "12 ...", None), (None, None, None)], ddl)
+    out = rows(STAGE["language_id"](spark, docs, SF))
+    assert out == Counter([*((i, t) for i, t, _ in given), (1000, mixed)])
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert rows(STAGE["language_id"](spark, unknown, SF)) == rows(docs)

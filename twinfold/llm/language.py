@@ -215,19 +215,22 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
     return map_batches(rows, "doc_id long, lang_pred string, score double", start)
 
 
-def with_language(documents: DataFrame, model: LanguageModel, min_share: float) -> DataFrame:
-    """Rows, whole, of which some language has ``min_share`` or more of the words.
+def with_language(documents: DataFrame, model: LanguageModel) -> DataFrame:
+    """Rows, whole, that ``identify`` does not give ``und``; all rows if nothing could be learned.
 
-    The decision needs the row alone, so there is no join.
+    However evenly a text mixes languages, it stays.  The decision needs the row alone, so
+    there is no join.
     """
+    if not model.languages:
+        return documents
     shipped = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = shipped.value.labeller()
         for batch in batches:
-            languages, score = _judge(labeller, [t or "" for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array([x != UNDETERMINED for x in languages] & (score >= min_share)))
+            languages, _ = _judge(labeller, [t or "" for t in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array([x != UNDETERMINED for x in languages], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
