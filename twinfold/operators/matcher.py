@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -92,35 +92,64 @@ class Matcher:
 
 @dataclass(frozen=True)
 class TreeSettings:
-    """Boosted trees: small steps, rows and columns subsampled, stop when the
-    held-out loss no longer falls by ``tolerance``."""
+    """Boosted trees: small steps, rows and columns subsampled; of at most ``rounds``
+    the round with the least held-out loss, after ``patience`` rounds without a gain."""
 
-    rounds: int = 200
+    rounds: int = 1000
+    patience: int = 75
     step: float = 0.05
     depth: int = 6
     min_rows_per_leaf: int = 50
     row_share: float = 0.8
     column_share: float = 0.8
-    tolerance: float = 1e-4
     seed: int = 42
     extra: dict = field(default_factory=dict)
 
-    def classifier(self, hold_out: str | None) -> GBTClassifier:
-        trees = GBTClassifier(
+    def classifier(self, rounds: int) -> GBTClassifier:
+        return GBTClassifier(
             featuresCol="feature_vector",
             labelCol="label",
-            maxIter=self.rounds,
+            maxIter=rounds,
             stepSize=self.step,
             maxDepth=self.depth,
             minInstancesPerNode=self.min_rows_per_leaf,
             subsamplingRate=self.row_share,
             featureSubsetStrategy=str(self.column_share),
-            validationTol=self.tolerance,
             checkpointInterval=10,
             seed=self.seed,
             **self.extra,
         )
-        return trees.setValidationIndicatorCol(hold_out) if hold_out else trees
+
+
+FIRST_ROUNDS = 250  # fitted before the held-out loss is looked at; then twice as many, and so on
+
+
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """The round (from 1) with the least loss before ``patience`` rounds bring no gain, and
+    whether they did."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _fit_trees(train: DataFrame, valid: DataFrame, settings: TreeSettings) -> GBTClassificationModel:
+    """The trees up to the best round on ``valid``.
+
+    Rounds do not depend on how many follow, so fits of different length over the same written
+    table begin with the same trees.
+    """
+    rounds = min(FIRST_ROUNDS, settings.rounds)
+    while True:
+        model = settings.classifier(rounds).fit(train)
+        best, stopped = best_round(model.evaluateEachIteration(valid), settings.patience)
+        if stopped or rounds == settings.rounds:
+            break
+        rounds = min(2 * rounds, settings.rounds)
+    return model if best == rounds else settings.classifier(best).fit(train)
 
 
 def _importance(spark: SparkSession, model: PipelineModel, names: list[str]) -> DataFrame:
@@ -148,16 +177,13 @@ def fit_matcher(
     cleaned = clean_features(sample, names)
     train, valid = grouped_split(cleaned, validation_share, PAIR[0], settings.seed)
     held_out = not valid.where("label = 1").isEmpty()
-    rows = (
-        train.withColumn("held_out", F.lit(False)).unionByName(
-            valid.withColumn("held_out", F.lit(True))
-        )
-        if held_out
-        else cleaned
-    )
     assembler = VectorAssembler(inputCols=names, outputCol="feature_vector")
-    trees = settings.classifier("held_out" if held_out else None)
-    model = Pipeline(stages=[assembler, trees]).fit(rows)
+    if held_out:
+        train, valid = stage(train), stage(valid)
+        trees = _fit_trees(assembler.transform(train), assembler.transform(valid), settings)
+        model = PipelineModel(stages=[assembler, trees])
+    else:
+        model = Pipeline(stages=[assembler, settings.classifier(settings.rounds)]).fit(cleaned)
     judged = stage(
         _probabilities(model, valid if held_out else cleaned).select(
             *PAIR, "label", "match_probability"
