@@ -36,3 +36,12 @@ def test_a_common_language_does_not_push_out_others(spark):
     picked = language.sample(spark.createDataFrame(same + rows, DDL), per_language=5)
     assert {lang for _, lang in picked} == {"common", "many", "rare"}
     assert len(picked) <= 3 * 11 and len(set(picked)) == len(picked)
+
+
+def test_all_letters_of_a_long_run_count():
+    one, two = ("".join(texts(x, 1)[0].split()) for x in ("one", "two"))
+    model = language.fit([(t, x) for x in ("one", "two") for t in texts(x, 20)])
+    run = one[:80] + two * 5
+    assert "".join(language.words_of(run)) == run
+    share = dict(zip(model.languages, model.labeller().shares([run])[0]))
+    assert share["two"] > 0.8 and share["one"] > 0.02

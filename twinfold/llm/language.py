@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from twinfold.llm.common import map_batches, text_or_empty
 from twinfold.llm.crf import CELLS, Chain, Features, KindScores, forward_backward, hashed, padded
 
-WORD = re.compile(r"[^\W\d_]+")
+# Longer runs of letters, as in scripts without spaces, are cut into several words.
+WORD = re.compile(r"[^\W\d_]{1,40}")
 SIZE = 1 << 16
 STRETCH, STRETCHES = 16, 4  # words of one document, and such stretches in a training sequence
 LEXICON_MIN = 3
@@ -42,7 +43,7 @@ def words_of(text: str) -> list[str]:
 
 
 def word_features(word: str, lexicon: frozenset[str]) -> list[int]:
-    marked = f"<{word[:40]}>"
+    marked = f"<{word}>"
     names = ["bias"]
     names += [f"p{word[:n]}" for n in (1, 2, 3, 4)] + [f"s{word[-n:]}" for n in (1, 2, 3, 4)]
     names += [f"g{marked[i : i + 3]}" for i in range(len(marked) - 2)]
