@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from twinfold.llm.common import table
+from twinfold.llm.common import table, text_or_empty
 from twinfold.llm.decontam import decontaminate
 from twinfold.llm.exact_dedup import exact_dedup
 from twinfold.llm.kneser_ney import score_held_out
 from twinfold.llm.language import identify_languages
 from twinfold.llm.licenses import scan_licenses
 from twinfold.llm.packing import pack_documents
+from twinfold.llm.periodic_runs import find_runs, most_repeated
 from twinfold.llm.secrets import scan_secrets
 from twinfold.llm.simhash import simhash_components
 from twinfold.llm.url_rules import judge_urls
@@ -72,6 +74,41 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def planted_periods(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: documents whose checksum of the id ends in 0 repeat a stretch of themselves
+    from some word to their end, as the contract says; the others stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[ \t-\r]+"), lambda w: w != "")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    chosen = F.coalesce(h % 10 == 0, F.lit(False)) & F.col("text").rlike(r"[^ \t-\r]")
+    rows = rows.withColumns({"words": F.when(chosen, words), "g": F.floor(h / 10)})
+    n = F.size("words")
+    rows = rows.withColumn("a", F.expr("g % size(words)"))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    repeated = F.expr(
+        "array_join(transform(words, (w, i) -> if(i < a, w, words[cast(a + (i - a) % p as int)])), ' ')"
+    )
+    return rows.select("doc_id", F.when(F.col("words").isNull(), F.col("text")).otherwise(repeated).alias("text"))
+
+
+def op12_query(documents: DataFrame) -> DataFrame:
+    found = find_runs(planted_periods(documents)).withColumn("most", most_repeated())
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    said = F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n"))))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"most.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("most.length * 1000 div most.period").alias("exponent_milli"),
+        F.sha2(said.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,5 +122,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_warc,
         op10_url_rules,
+        op12_periodic_runs,
     )
 }
