@@ -34,3 +34,51 @@ def test_small_gains_do_not_end_the_training(spark, monkeypatch):
     best, _ = matcher.best_round(losses, settings.patience)
     fitted = matcher.fit_matcher(sample, settings=settings)
     assert fitted.metrics.first()["best_iteration"] == best > 1
+
+
+def labelled(spark, held_out_positives=True):
+    draw = random.Random(2)
+    rows = []
+    for i in range(300):
+        x = draw.random()
+        rows.append((f"a{i}", f"b{i}", x, draw.random(), int(x + draw.gauss(0, 0.2) > 0.5)))
+    ddl = "source1_entity_id string, candidate_entity_id string, x double, y double, label int"
+    df = spark.createDataFrame(rows, ddl)
+    if not held_out_positives:
+        _, valid = grouped_split(df, 0.2, "source1_entity_id", 42)
+        away = valid.where("label = 1").select("source1_entity_id")
+        df = df.join(away, "source1_entity_id", "left_anti")
+    return stage(df)
+
+
+def test_first_trees_are_those_of_a_shorter_fit(spark, tmp_path):
+    settings = matcher.TreeSettings(depth=3, min_rows_per_leaf=5)
+    vectors = VectorAssembler(inputCols=["x", "y"], outputCol="feature_vector").transform
+    rows = vectors(labelled(spark))
+    long, short = (settings.classifier(n).fit(rows) for n in (9, 4))
+    cut = matcher.first_trees(long, 4)
+    assert cut.getNumTrees == 4 and cut.numFeatures == 2 and cut.numClasses == 2
+    assert cut.toDebugString.split("\n", 1)[1] == short.toDebugString.split("\n", 1)[1]
+    assert cut.featureImportances == short.featureImportances
+    cut.write().overwrite().save(str(tmp_path / "cut"))
+    again = type(cut).load(str(tmp_path / "cut"))
+    found = [
+        [r.probability for r in m.transform(rows).orderBy("source1_entity_id").collect()]
+        for m in (cut, short, again)
+    ]
+    assert found[0] == found[1] == found[2]
+
+
+def test_patience_without_held_out_positives(spark, monkeypatch):
+    monkeypatch.setattr(matcher, "FIRST_ROUNDS", 6)
+    seen = []
+    fit = matcher.TreeSettings.classifier
+    monkeypatch.setattr(
+        matcher.TreeSettings, "classifier", lambda self, n: seen.append(n) or fit(self, n)
+    )
+    monkeypatch.setattr(matcher, "best_round", lambda losses, patience: (3, True))
+    fitted = matcher.fit_matcher(
+        labelled(spark, held_out_positives=False),
+        settings=matcher.TreeSettings(rounds=50, patience=2, depth=2, min_rows_per_leaf=5),
+    )
+    assert seen == [6] and fitted.metrics.first()["best_iteration"] == 3

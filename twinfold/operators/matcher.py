@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import SparkContext
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -73,11 +74,6 @@ def training_sample(
     return positives.unionByName(negatives)
 
 
-def shuffled(df: DataFrame, seed: int = 42) -> DataFrame:
-    """Rows in a reproducible random order."""
-    return df.orderBy(F.md5(F.concat_ws(",", *PAIR, F.lit(seed))), *PAIR)
-
-
 @dataclass
 class Matcher:
     """A fitted model with what is needed to apply and judge it."""
@@ -121,7 +117,8 @@ class TreeSettings:
         )
 
 
-FIRST_ROUNDS = 250  # fitted before the held-out loss is looked at; then twice as many, and so on
+# Rounds that are fitted before the held-out loss is looked at; then all that are allowed.
+FIRST_ROUNDS = 400
 
 
 def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
@@ -136,20 +133,40 @@ def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def _fit_trees(train: DataFrame, valid: DataFrame, settings: TreeSettings) -> GBTClassificationModel:
-    """The trees up to the best round on ``valid``.
+def first_trees(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after its first ``rounds`` rounds.
+
+    A round adds a tree and leaves those before it alone, so nothing is fitted again.
+    """
+    java, context = model._java_obj, SparkContext._active_spark_context
+    trees = context._gateway.new_array(
+        context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds
+    )
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for at, (tree, weight) in enumerate(zip(java.trees()[:rounds], java.treeWeights()[:rounds])):
+        trees[at], weights[at] = tree, weight
+    kind = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel
+    cut = kind(java.uid(), trees, weights, java.numFeatures(), java.numClasses())
+    for column in ("Features", "Prediction", "RawPrediction", "Probability"):
+        getattr(cut, f"set{column}Col")(getattr(model, f"get{column}Col")())
+    found = GBTClassificationModel(cut)
+    found._transfer_params_from_java()
+    return found
+
+
+def _fit_trees(train: DataFrame, judge: DataFrame, settings: TreeSettings) -> GBTClassificationModel:
+    """The trees up to the best round on ``judge``.
 
     Rounds do not depend on how many follow, so fits of different length over the same written
-    table begin with the same trees.
+    table begin with the same trees, and the best round is cut out of the last fit.
     """
     rounds = min(FIRST_ROUNDS, settings.rounds)
     while True:
         model = settings.classifier(rounds).fit(train)
-        best, stopped = best_round(model.evaluateEachIteration(valid), settings.patience)
+        best, stopped = best_round(model.evaluateEachIteration(judge), settings.patience)
         if stopped or rounds == settings.rounds:
-            break
-        rounds = min(2 * rounds, settings.rounds)
-    return model if best == rounds else settings.classifier(best).fit(train)
+            return model if best == rounds else first_trees(model, best)
+        rounds = settings.rounds
 
 
 def _importance(spark: SparkSession, model: PipelineModel, names: list[str]) -> DataFrame:
@@ -167,8 +184,8 @@ def fit_matcher(
 ) -> Matcher:
     """Train on part of the entities, choose the threshold on the rest.
 
-    If the rest holds no positive pair, there is nothing to stop or to choose
-    by: the threshold is then chosen on the training rows.
+    If the rest holds no positive pair, all rows are trained on, and the round and the
+    threshold are chosen on them too.
     """
     settings = settings or TreeSettings()
     spark = sample.sparkSession
@@ -179,15 +196,13 @@ def fit_matcher(
     held_out = not valid.where("label = 1").isEmpty()
     assembler = VectorAssembler(inputCols=names, outputCol="feature_vector")
     if held_out:
-        train, valid = stage(train), stage(valid)
-        trees = _fit_trees(assembler.transform(train), assembler.transform(valid), settings)
-        model = PipelineModel(stages=[assembler, trees])
+        train, judge = stage(train), stage(valid)
     else:
-        model = Pipeline(stages=[assembler, settings.classifier(settings.rounds)]).fit(cleaned)
+        train = judge = stage(cleaned)
+    trees = _fit_trees(assembler.transform(train), assembler.transform(judge), settings)
+    model = PipelineModel(stages=[assembler, trees])
     judged = stage(
-        _probabilities(model, valid if held_out else cleaned).select(
-            *PAIR, "label", "match_probability"
-        )
+        _probabilities(model, judge).select(*PAIR, "label", "match_probability")
     )
     sweep = threshold_sweep(judged)
     best = best_threshold(sweep).first()
