@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import table, text_or_empty
+from twinfold.llm.conversations import repair_conversations, report
 from twinfold.llm.decontam import decontaminate
 from twinfold.llm.exact_dedup import exact_dedup
 from twinfold.llm.kneser_ney import score_held_out
@@ -20,8 +21,10 @@ from twinfold.llm.secrets import scan_secrets
 from twinfold.llm.simhash import simhash_components
 from twinfold.llm.url_rules import judge_urls
 from twinfold.llm.warc import archive_pages
+from twinfold.llm.window_packing import pack_windows
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 # The rules of the contract.
 URL_RULES = [
@@ -74,6 +77,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_windows(table(spark, sf_dir, "documents"), BYTE_TOKENIZER)
+
+
 def planted_periods(documents: DataFrame) -> DataFrame:
     """``doc_id, text``: documents whose checksum of the id ends in 0 repeat a stretch of themselves
     from some word to their end, as the contract says; the others stay as they are."""
@@ -109,6 +116,33 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12_query(table(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> tuple[DataFrame, Column]:
+    """Rows after the damage the contract names, and the condition for those that are lost."""
+    part = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat_ws(":", *part).cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(kind == 1, F.lit(""))
+        .when(kind == 2, F.regexp_replace(text, "[.!?]", ""))
+        .otherwise(text)
+        .alias("text"),
+        kind.alias("kind"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("again"),
+    )
+    return rows, F.col("kind") == 0
+
+
+def op13_query(conversations: DataFrame) -> DataFrame:
+    return report(repair_conversations(*damaged(conversations)))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_query(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -122,6 +156,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_warc,
         op10_url_rules,
+        op11_window_packing,
         op12_periodic_runs,
+        op13_conversation_repair,
     )
 }
