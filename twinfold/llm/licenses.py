@@ -41,7 +41,18 @@ NOTICES = {
     "dedicated to the public domain": "cc0-1.0",
     "all rights reserved": "all-rights-reserved",
 }
-TAGS = ("spdx-license-identifier:", "license-expression:", "license:", "licence:")
+# Tags that only a license expression follows, and tags that also stand before other text.
+EXACT_TAGS = ("spdx-license-identifier:", "license-expression:")
+LOOSE_TAGS = ("license:", "licence:")
+
+# Families of licenses, by what their identifiers begin with.
+FAMILIES = (
+    "0bsd afl agpl apache apl apsl artistic beerware bittorrent blessing boost bsd bsl bzip2 cc cc0 cddl cdla "
+    "cecill cern cpl curl ecl efl epl eupl fsfap ftl gfdl gpl hpnd icu ijg imagemagick intel ipl isc json lgpl "
+    "libpng libtiff linux-openib lppl lpl miros mit mpl ms-pl ms-rl mulanpsl nasa ncsa netcdf ngpl nokia ntp "
+    "odbl odc ofl openssl osl pddl php postgresql psf python qpl ruby sendmail sgi sissl sleepycat spl tcl "
+    "unicode unlicense upl vim w3c wtfpl x11 xfree86 xnet zend zlib zpl"
+).split()
 
 # How freely a text under a license may be used; of the first prefix that fits.
 FREEDOM = (
@@ -69,18 +80,20 @@ SEPARATORS = bytes.maketrans(
 )
 BINDING = {"or": 1, "and": 2, "with": 3}
 PIECE = re.compile(r"[ \t]*([()]|[a-z0-9][a-z0-9.+-]*)")
-# Identifiers have a digit or a hyphen, but for these few.
-IDENTIFIER = re.compile(r".*[\d-]|(mit|isc|zlib|unlicense|x11|ruby|vim|postgresql)$")
+# An identifier after a loose tag: a family, then versions and variants.
+KNOWN = re.compile(rf"({'|'.join(FAMILIES)})(v?\d[\d.]*\+?)?(-[a-z0-9.+]+)*\+?\.?$")
+EXCEPTIONS = re.compile(r".*exception|.*-note\.?$")
 
 
 def freedom(license_id: str) -> float:
     return next((f for prefix, f in FREEDOM if license_id.startswith(prefix)), UNKNOWN)
 
 
-def postfix(text: str, at: int = 0) -> list[str]:
+def postfix(text: str, at: int = 0, exact: bool = False) -> list[str]:
     """The license expression from ``at`` on in lower-case ``text``, operators behind operands.
 
-    Reading stops where the expression can't go on; an operator without its right side and
+    Where it is ``exact``, any identifier is an operand, else those of known families are, and names
+    of exceptions after ``with``.  Reading stops where the expression can't go on; an operator without its right side and
     parentheses without their other half are left out.
     """
     out: list[str] = []
@@ -90,8 +103,11 @@ def postfix(text: str, at: int = 0) -> list[str]:
     while m := PIECE.match(text, at):
         piece = m[1]
         if operand_next:
-            if piece != "(" and not IDENTIFIER.match(piece):
+            if piece in BINDING or piece == ")":
                 break
+            if piece != "(" and not exact and not KNOWN.match(piece):
+                if not (pieces and pieces[-1] == "with" and EXCEPTIONS.match(piece)):
+                    break
             open_count += piece == "("
             operand_next = piece == "("
         else:
@@ -149,7 +165,7 @@ class Scanner:
         # Words stand between single spaces, so a phrase is found as " phrase ".
         phrases = {f" {p} ": (label, p in BASE) for p, label in (NOTICES | BASE).items()}
         self.phrases = _automaton(phrases)
-        self.tags = _automaton({t: t for t in TAGS})
+        self.tags = _automaton({t: t in EXACT_TAGS for t in EXACT_TAGS + LOOSE_TAGS})
 
     def __call__(self, text: str) -> dict:
         lower = text.encode().lower()
@@ -162,11 +178,11 @@ class Scanner:
                 base.add(label)
                 starts.append(end + 1 - length)
         plain = lower.decode()
-        for end, (_, length) in self.tags.iter(plain):
+        for end, (exact, length) in self.tags.iter(plain):
             before = plain[end - length] if end >= length else " "
             if before.isalnum() or before == "-":
                 continue
-            found = evaluate(postfix(plain, end + 1))
+            found = evaluate(postfix(plain, end + 1, exact))
             if found:
                 labels |= found[0]
                 values.append(found[1])
