@@ -68,3 +68,44 @@ def test_language_stage_keeps_evenly_mixed_texts(spark):
     assert out == Counter([*((i, t) for i, t, _ in given), (1000, mixed)])
     unknown = docs.withColumn("lang", F.lit(None).cast("string"))
     assert rows(STAGE["language_id"](spark, unknown, SF)) == rows(docs)
+
+
+# Names that the stages and their operators use for columns of their own.
+INNER = (
+    "row_key gone_key kept_key Kept_Key_ group stays n digest keep_id group_size kept text_sha256 doc root "
+    "component_id fingerprint vertex a b shard tile words shingle contaminated n_hit hits piece start length "
+    "ids_crc32 sequence_id offset pack_part pack_rank lang_pred score draw share hint item_id"
+).split()
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_columns_of_any_name(spark, stage):
+    letters = [A, A, B, B.upper(), C, C, None, "12 34"]
+    given = [(i // 2, t, "en", *INNER) for i, t in enumerate(letters)]
+    ddl = "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in INNER)
+    docs = spark.createDataFrame(given, ddl)
+    found = STAGE[stage](spark, docs, SF)
+    plain = rows(STAGE[stage](spark, docs.select("doc_id", "text", "lang"), SF)) if stage != "packing" else None
+    if stage == "packing":
+        assert found.count() == len(given)
+    else:
+        assert found.columns == docs.columns and rows(found) == plain
+        assert {tuple(r)[3:] for r in found.collect()} == {tuple(INNER)}
+
+
+def test_language_stage_fills_in_languages(spark):
+    from test_many_languages import texts
+
+    given = [(10 * k + j, t, x if j else None) for k, x in enumerate(["l1", "l2"]) for j, t in enumerate(texts(x, 30))]
+    ddl = "doc_id long, text string, lang string"
+    out = STAGE["language_id"](spark, spark.createDataFrame([*given, (500, "!", "l1")], ddl), SF).collect()
+    assert {r["doc_id"]: r["lang"] for r in out} == {10 * k + j: x for k, x in enumerate(["l1", "l2"]) for j in range(30)}
+
+
+def test_one_owner_holds_at_a_time():
+    from twinfold.llm.common import held
+
+    first = held("one", 1, list)
+    assert held("one", 1, list) is first and held("one", 2, list) is not first
+    held("two", 1, list)
+    assert held("one", 1, list) is not first

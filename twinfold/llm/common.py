@@ -40,6 +40,30 @@ def row_key() -> Column:
     return F.sha2(F.concat_ws(":", doc_id, text_or_empty()), 256)
 
 
+def new_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+_held: dict = {}
+
+
+def held(owner: str, key: object, build: Callable[[], object]) -> object:
+    """What ``build`` makes, once for all tasks of a worker, until another owner holds something.
+
+    Workers outlive stages: what one stage has learned must not lie beside what the next one does.
+    """
+    if _held.get("owner") != owner:
+        _held.clear()
+        _held["owner"] = owner
+    if key not in _held:
+        _held[key] = build()
+    return _held[key]
+
+
 def schema_of(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 

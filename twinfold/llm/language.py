@@ -10,15 +10,17 @@ share of its words.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import map_batches, text_or_empty
+from twinfold.llm.common import held, map_batches, text_or_empty
 from twinfold.llm.crf import CELLS, Chain, Features, KindScores, forward_backward, hashed, padded
 
 # Longer runs of letters, as in scripts without spaces, are cut into several words.
@@ -72,16 +74,11 @@ def cells_of(languages: int) -> int:
 class LanguageModel:
     def __init__(self, languages: list[str], lexicon: frozenset[str], chain: Chain):
         self.languages, self.lexicon, self.chain = languages, lexicon, chain
-        self._labeller: Labeller | None = None
+        self.number = uuid.uuid4().hex  # workers tell models apart by it
 
     def labeller(self) -> Labeller:
         """One for all tasks of a worker, which keeps the words it has met."""
-        if self._labeller is None:
-            self._labeller = Labeller(self)
-        return self._labeller
-
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_labeller": None}
+        return held("language", self.number, lambda: Labeller(self))
 
 
 class Labeller:
@@ -219,19 +216,23 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
 def with_language(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """Rows, whole, that ``identify`` does not give ``und``; all rows if nothing could be learned.
 
-    However evenly a text mixes languages, it stays.  The decision needs the row alone, so
-    there is no join.
+    Rows without a ``lang`` get the one that is found.  However evenly a text mixes languages, it
+    stays.  The decision needs the row alone, so there is no join.
     """
     if not model.languages:
         return documents
     shipped = documents.sparkSession.sparkContext.broadcast(model)
     at = documents.columns.index("text")
+    lang = documents.columns.index("lang") if "lang" in documents.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = shipped.value.labeller()
         for batch in batches:
-            languages, _ = _judge(labeller, [t or "" for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array([x != UNDETERMINED for x in languages], pa.bool_()))
+            found, _ = _judge(labeller, [t or "" for t in batch.column(at).to_pylist()])
+            if lang is not None and batch.column(lang).null_count:
+                whole = pc.coalesce(batch.column(lang), pa.array(found, batch.column(lang).type))
+                batch = batch.set_column(lang, batch.schema.field(lang), whole)
+            yield batch.filter(pa.array([x != UNDETERMINED for x in found], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 

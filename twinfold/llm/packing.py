@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import map_batches, text_or_empty
+from twinfold.llm.common import held, map_batches, text_or_empty
 from twinfold.session import stage
 
 CAPACITY = 2048
@@ -97,14 +97,9 @@ class Encoder:
             return b"".join(known[w] if w in known else self._whole(w) for w in words)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One for all tasks of a worker, which keeps the words it has met."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return held("packing", path, lambda: Encoder(path))
 
 
 def pieces(
