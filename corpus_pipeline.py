@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import row_key, table
+from twinfold.llm.common import new_name, row_key, table
 from twinfold.llm.decontam import decontaminate
 from twinfold.llm.exact_dedup import exact_dedup
 from twinfold.llm.language import learned, remainder, with_language
@@ -24,8 +24,9 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
     Those that go are the fewer, so they are what is joined.
     """
-    gone = gone.select(F.col("row_key").alias("gone_key"))
-    return docs.join(gone, row_key() == gone["gone_key"], "left_anti")
+    key = new_name(docs, "gone_key")
+    gone = gone.select(F.col("row_key").alias(key))
+    return docs.join(gone, row_key() == gone[key], "left_anti")
 
 
 def _one_of_each(docs: DataFrame, judged: DataFrame, group: str, stays: Column) -> DataFrame:
@@ -43,18 +44,20 @@ def _one_of_each(docs: DataFrame, judged: DataFrame, group: str, stays: Column)
     repeated = stage(keys.where("n > 1").join(chosen, "row_key", "left_semi").select("row_key"))
     if repeated.isEmpty():
         return _without(docs, gone)
-    again = repeated.select(F.col("row_key").alias("kept_key"))
+    key = new_name(docs, "kept_key")
+    again = repeated.select(F.col("row_key").alias(key))
     once = (
-        docs.join(again, row_key() == again["kept_key"], "left_semi")
-        .withColumn("kept_key", row_key())
-        .dropDuplicates(["kept_key"])
-        .drop("kept_key")
+        docs.join(again, row_key() == again[key], "left_semi")
+        .withColumn(key, row_key())
+        .dropDuplicates([key])
+        .drop(key)
     )
     return _without(docs, gone.unionByName(repeated)).unionByName(once)
 
 
 def drop_undetermined(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go; if no language can be learned, none does."""
+    """Documents without a letter go; if no language can be learned, none does.  Others that have no
+    ``lang`` get the one found."""
     return with_language(docs, learned(docs, remainder() == 0))
 
 
