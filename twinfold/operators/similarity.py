@@ -1,24 +1,26 @@
 """String similarity of candidate pairs: four scores each for name and address.
 
-Sorting words and splitting them into common and own ones is done with array
-functions; Python tasks only receive what needs a character comparison.
+Many pairs compare the same two texts, and a comparison takes time with the product of their
+lengths.  So each different pair of texts is compared once, equal texts not at all, and comparisons
+are dealt over tasks by their cost.  Sorting words and splitting them into common and own ones is
+done with array functions; Python tasks only receive what needs a character comparison.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType, LongType
 
 from twinfold.functions import lcs
 from twinfold.functions.lcs import lcs_lengths, window_scores
 from twinfold.functions.text import text_or_empty, words
 from twinfold.operators.features import RAW_TEXT
+from twinfold.session import stage
 from twinfold.sources.entities import require_columns
 
 SCORES = ["ratio", "partial_ratio", "token_sort_ratio", "token_set_ratio"]
@@ -30,14 +32,8 @@ for _module in (lcs, sys.modules[__name__]):
     cloudpickle.register_pickle_by_value(_module)
 
 
-@pandas_udf(LongType())
-def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(lcs_lengths(a.tolist(), b.tolist()))
-
-
-@pandas_udf(DoubleType())
-def window_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series(window_scores(a.tolist(), b.tolist()))
+TASK_COST = 100_000_000  # characters of one text times those of the other, for one task
+PAIR_COST = 2_000  # what a comparison takes besides
 
 
 def _score(common: Column, both_lengths: Column) -> Column:
@@ -47,62 +43,127 @@ def _score(common: Column, both_lengths: Column) -> Column:
     )
 
 
-def _prepared(df: DataFrame, field: str) -> DataFrame:
-    """Adds, per side: the text, its words sorted, and its own words sorted."""
-    a, b = f"{field}1", f"{field}2"
-    df = df.withColumns({f"_{a}": text_or_empty(a), f"_{b}": text_or_empty(b)})
-    df = df.withColumns({f"_w_{s}": F.sort_array(words(F.col(f"_{s}"))) for s in (a, b)})
-    sort = {f"_sorted_{s}": F.array_join(F.col(f"_w_{s}"), " ") for s in (a, b)}
-    own = {
-        f"_own_{s}": F.array_join(F.array_except(f"_w_{s}", f"_w_{o}"), " ")
-        for s, o in ((a, b), (b, a))
-    }
-    shared = {f"_shared_{field}": F.array_join(F.array_intersect(f"_w_{a}", f"_w_{b}"), " ")}
-    none = {f"_wordless_{field}": (F.size(f"_w_{a}") == 0) | (F.size(f"_w_{b}") == 0)}
-    return df.withColumns({**sort, **own, **shared, **none}).drop(f"_w_{a}", f"_w_{b}")
+def _prepared(texts: DataFrame) -> DataFrame:
+    """What a comparison needs of two texts ``a`` and ``b``: per side the text, its words sorted, and its
+    own words sorted; the length of the common words, and whether a side has no words."""
+    df = texts.withColumns({f"words_{s}": F.sort_array(words(F.col(s))) for s in "ab"})
+    own = {s: F.array_join(F.array_except(f"words_{s}", f"words_{o}"), " ") for s, o in ("ab", "ba")}
+    return df.select(
+        "text_key",
+        *(F.col(s).alias(f"text_{s}") for s in "ab"),
+        *(F.array_join(f"words_{s}", " ").alias(f"sorted_{s}") for s in "ab"),
+        *(own[s].alias(f"own_{s}") for s in "ab"),
+        F.length(F.array_join(F.array_intersect("words_a", "words_b"), " ")).alias("shared"),
+        ((F.size("words_a") == 0) | (F.size("words_b") == 0)).alias("wordless"),
+    )
 
 
-def _set_score(field: str, common: Column) -> Column:
+def _set_score(common: Column) -> Column:
     """Best of: common words against all words of either side, and the two sides'
     words with the common ones first.  Only the last needs characters compared."""
-    shared = F.length(f"_shared_{field}")
+    shared, one, two = F.col("shared"), F.col("own_a"), F.col("own_b")
     gap = F.when(shared > 0, 1).otherwise(0)
-    one, two = F.length(f"_own_{field}1"), F.length(f"_own_{field}2")
     full = lambda own: shared + F.when(own > 0, own + gap).otherwise(0)
     together = _score(shared + gap + common, full(one) + full(two))
     alone = F.greatest(*[_score(shared, shared + full(own)) for own in (one, two)])
     return (
-        F.when(F.col(f"_wordless_{field}"), F.lit(0.0))
+        F.when(F.col("wordless"), F.lit(0.0))
         .when((shared > 0) & ((one == 0) | (two == 0)), F.lit(100.0))
         .when(shared > 0, F.greatest(together, alone))
         .otherwise(together)
     )
 
 
+def by_cost(df: DataFrame, cost: Column, key: str, task_cost: int = TASK_COST) -> DataFrame:
+    """Rows dealt over tasks of about equal cost.
+
+    Rows of similar cost, by its power of two, share tasks: as many as their whole cost asks for.  So dear
+    rows do not meet in one task by chance, nor do they hold up cheap ones.  At most a row per
+    power of two reaches the driver.
+    """
+    power = F.floor(F.log2(cost.cast("double"))).cast("int")
+    sums = df.groupBy(power.alias("power")).agg(F.sum(cost.cast("double")).alias("cost")).collect()
+    placed, first, tasks = F.lit(0), 0, 0
+    for power_, total in sorted((r["power"], r["cost"]) for r in sums):
+        n = int(total / task_cost) + 1
+        placed = F.when(power == power_, F.pmod(F.xxhash64(key), F.lit(n)) + first).otherwise(placed)
+        first += n
+        tasks = first
+    return df.repartitionById(max(tasks, 1), placed.cast("int"))
+
+
+TEXTS = ("text", "sorted", "own")
+LENGTHS = ", ".join(f"{t}_a long, {t}_b long" for t in TEXTS)
+COMPARED = f"text_key binary, shared int, wordless boolean, {LENGTHS}, lcs_text long, lcs_sorted long, lcs_own long, window double"
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lengths in place of texts, and what comparing their characters gives."""
+    for batch in batches:
+        made = {c: batch.column(c) for c in ("text_key", "shared", "wordless")}
+        texts = {f"{t}_{s}": batch.column(f"{t}_{s}").to_pylist() for t in TEXTS for s in "ab"}
+        made |= {c: pa.array([*map(len, values)], pa.int64()) for c, values in texts.items()}
+        for t in TEXTS:
+            made[f"lcs_{t}"] = pa.array(lcs_lengths(texts[f"{t}_a"], texts[f"{t}_b"]))
+        made["window"] = pa.array(window_scores(texts["text_a"], texts["text_b"]))
+        yield pa.RecordBatch.from_pydict(made)
+
+
+def text_scores(texts: DataFrame) -> DataFrame:
+    """``text_key`` and the four scores of different texts ``a`` and ``b``, one row per key."""
+    prepared = _prepared(texts)
+    cost = F.length("text_a").cast("long") * F.length("text_b") + PAIR_COST
+    compared = by_cost(prepared, cost, "text_key").mapInArrow(_compare, COMPARED)
+    both = lambda text: F.col(f"{text}_a") + F.col(f"{text}_b")
+    values = [
+        _score(F.col("lcs_text"), both("text")),
+        F.col("window"),
+        _score(F.col("lcs_sorted"), both("sorted")),
+        _set_score(F.col("lcs_own")),
+    ]
+    return compared.select("text_key", F.struct(*(v.alias(s) for v, s in zip(values, SCORES))).alias("found"))
+
+
 def fuzzy_features(pairs: DataFrame) -> DataFrame:
-    """Replaces the texts of ``pair_features`` by eight scores in [0, 100]."""
+    """Replaces the texts of ``pair_features`` by eight scores in [0, 100].
+
+    Null texts are empty ones.  Pairs that compare the same texts share one comparison, found by the
+    texts' digest.
+    """
     require_columns(pairs, ["name1", "name2", "address1", "address2"], "pair features")
     kept = [c for c in pairs.columns if c not in RAW_TEXT]
-    df = pairs
-    for field in ("name", "address"):
-        df = _prepared(df, field)
-    compared = {}
-    for field in ("name", "address"):
-        a, b = f"{field}1", f"{field}2"
-        compared[f"_lcs_{field}"] = common_length(f"_{a}", f"_{b}")
-        compared[f"_lcs_sorted_{field}"] = common_length(f"_sorted_{a}", f"_sorted_{b}")
-        compared[f"_lcs_own_{field}"] = common_length(f"_own_{a}", f"_own_{b}")
-        compared[f"_window_{field}"] = window_ratio(f"_{a}", f"_{b}")
-    df = df.withColumns(compared)
-    scores = []
-    for field in ("name", "address"):
-        a, b = f"{field}1", f"{field}2"
-        both = lambda prefix: F.length(prefix + a) + F.length(prefix + b)  # noqa: E731, B023
-        values = [
-            _score(F.col(f"_lcs_{field}"), both("_")),
-            F.col(f"_window_{field}"),
-            _score(F.col(f"_lcs_sorted_{field}"), both("_sorted_")),
-            _set_score(field, F.col(f"_lcs_own_{field}")),
-        ]
-        scores += [v.alias(f"{field}_{s}") for v, s in zip(values, SCORES)]
-    return df.select(*dict.fromkeys(kept), *scores)
+    fields = ("name", "address")
+    sides = {f: (text_or_empty(f"{f}1"), text_or_empty(f"{f}2")) for f in fields}
+    digest = lambda a, b: F.unhex(F.md5(F.concat(F.length(a).cast("string"), F.lit(":"), a, b)))
+    keys = {f: F.when(a != b, digest(a, b)) for f, (a, b) in sides.items()}
+    # A field's two texts are equal where its key is null; words decide on the last score then.
+    worded = {f: F.size(words(a)) > 0 for f, (a, _) in sides.items()}
+    found = stage(
+        pairs.select(
+            *kept,
+            *(k.alias(f"_key_{f}") for f, k in keys.items()),
+            *(w.alias(f"_worded_{f}") for f, w in worded.items()),
+            *(F.when(a != b, x).alias(f"_{f}_{s}") for f, (a, b) in sides.items() for s, x in zip("ab", (a, b))),
+        )
+    )
+    each = [
+        found.where(F.col(f"_key_{f}").isNotNull()).select(
+            F.col(f"_key_{f}").alias("text_key"), *(F.col(f"_{f}_{s}").alias(s) for s in "ab")
+        )
+        for f in fields
+    ]
+    different = each[0].unionByName(each[1]).groupBy("text_key").agg(F.first("a").alias("a"), F.first("b").alias("b"))
+    scores = stage(text_scores(stage(different)))
+    out = found.drop(*(f"_{f}_{s}" for f in fields for s in "ab"))
+    for f in fields:
+        named = scores.select(F.col("text_key").alias(f"_key_{f}"), F.col("found").alias(f"_found_{f}"))
+        out = out.join(named, f"_key_{f}", "left")
+    equal = lambda f, s: F.when(F.col(f"_worded_{f}") | F.lit(s != SCORES[3]), 100.0).otherwise(0.0)
+    return out.select(
+        *dict.fromkeys(kept),
+        *(
+            F.when(F.col(f"_key_{f}").isNull(), equal(f, s)).otherwise(F.col(f"_found_{f}.{s}")).alias(f"{f}_{s}")
+            for f in fields
+            for s in SCORES
+        ),
+    )
