@@ -16,15 +16,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import map_batches, text_or_empty
 from twinfold.llm.crf import Chain, Features, KindScores, hashed
+from twinfold.session import stage
 
 # Patterns and kinds of the contract.
 ASSIGN = re.compile(
@@ -36,7 +39,6 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "field")
 
 NAMES = ("passw", "secret", "token", "api")  # one is in every text with an assignment
-BASE_HINT = r"(?i)passw|secret|token|api_?key|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
 
 TOKEN = re.compile(r"[\w+/.-]+=*|[^\w\s+/.-]+")
 OUTSIDE, BEGIN, INSIDE = range(3)
@@ -84,28 +86,61 @@ def shape(token: str) -> str:
     return "".join(out)[:12]
 
 
+@lru_cache(100_000)
+def _look(length: int, tenths: int, mixed: bool, hexadecimal: bool, upper: bool, capitals: int, variety: int, form: str) -> list[int]:
+    """Features of what a token looks like; few tokens look unlike all others."""
+    return hashed(
+        [
+            "bias",
+            f"l{length}",
+            f"d{tenths}",
+            f"m{mixed}{length}",
+            f"x{hexadecimal}{length}",
+            f"u{upper}{mixed}",
+            f"c{capitals}{mixed}",
+            f"v{variety}{length}",
+            f"s{form}",
+        ],
+        SIZE,
+    )
+
+
+@lru_cache(100_000)
+def _look_beside(side: str, length: int, mixed: bool) -> tuple[list[int], list[int]]:
+    """Features of a neighbour's look, before and after the one for its text."""
+    first, last = [f"{side}bias", f"{side}l{length}"], [f"{side}m{mixed}"]
+    return hashed(first, SIZE), hashed(last, SIZE)
+
+
 def token_features(token: str) -> list[list[int]]:
     """Features of a token for its own tag, and for the tags of the tokens after and before."""
-    lower = token.lower()
-    digits = sum(map(str.isdigit, token))
-    letters = sum(map(str.isalpha, token))
-    length = min(len(token).bit_length(), 5)  # 16 characters and more are one class
+    size = len(token)
+    length = min(size.bit_length(), 5)  # 16 characters and more are one class
+    if token.isalpha():
+        digits, letters = 0, size
+    else:
+        digits, letters = sum(map(str.isdigit, token)), sum(map(str.isalpha, token))
     mixed = digits > 0 and letters > 0
-    own = [
-        "bias",
-        f"l{length}",
-        f"d{10 * digits // len(token)}",
-        f"m{mixed}{length}",
-        f"x{all(c in '0123456789abcdef' for c in token)}{length}",
-        f"u{token.isupper()}{mixed}",
-        f"c{min(sum(map(str.isupper, token)), 4)}{mixed}",
-        f"v{10 * len(set(token)) // len(token)}{length}",
-        f"s{shape(token) if mixed or not letters else 'word'}",
-    ]
-    if len(token) <= 12 and not digits:
-        own.append(f"w{lower}")
-    near = ["bias", f"l{length}", f"w{lower if len(token) <= 12 else ''}", f"m{mixed}"]
-    return [hashed(own, SIZE), hashed([f"b{f}" for f in near], SIZE), hashed([f"a{f}" for f in near], SIZE)]
+    capitals = 0 if token.islower() else min(sum(map(str.isupper, token)), 4)
+    own = _look(
+        length,
+        10 * digits // size,
+        mixed,
+        not token.strip("0123456789abcdef"),
+        token.isupper(),
+        capitals,
+        10 * len({*token}) // size,
+        shape(token) if mixed or not letters else "word",
+    )
+    short = size <= 12
+    text = token.lower() if short else ""
+    if short and not digits:
+        own = [*own, zlib.crc32(f"w{text}".encode()) & (SIZE - 1)]
+    beside = []
+    for side in "ba":
+        first, last = _look_beside(side, length, mixed)
+        beside.append([*first, zlib.crc32(f"{side}w{text}".encode()) & (SIZE - 1), *last])
+    return [own, *beside]
 
 
 def file_features(text: str) -> list[int]:
@@ -250,17 +285,30 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
+def _hint() -> Column:
+    """Whether a text may have base spans.  Plain words come first, as they are found fastest."""
+    lower = F.lower("text")
+    names = [lower.contains(n) for n in ("passw", "secret", "token", "apikey", "api_key")]
+    access = lower.contains("akia") & lower.rlike("akia[a-z0-9]{16}")
+    return reduce(Column.__or__, [*names, access, lower.rlike("[0-9a-f]{24}")])
+
+
 def sample(documents: DataFrame) -> list[str]:
     """Texts to fit on, by a hash of the id: ``SAMPLE_WITH`` that may have base spans and
-    ``SAMPLE_WITHOUT`` others.  Only hashes are sorted; texts are read for those chosen."""
+    ``SAMPLE_WITHOUT`` others.
+
+    All texts are looked at once, for a written table of hints and hashes; then texts are read
+    for the hashes that may be chosen.
+    """
     rows = documents.select(text_or_empty().alias("text"), F.xxhash64("doc_id").alias("draw"))
-    hint = F.col("text").rlike(BASE_HINT)
+    drawn = stage(rows.select("draw", _hint().alias("hint")))
     out = []
-    for which, most in ((hint, SAMPLE_WITH), (~hint, SAMPLE_WITHOUT)):
-        drawn = rows.where(which).select("draw").orderBy("draw").limit(most)
-        last = drawn.agg(F.max("draw")).first()[0]
+    for hint, most in ((True, SAMPLE_WITH), (False, SAMPLE_WITHOUT)):
+        first = drawn.where(F.col("hint") == hint).select("draw").orderBy("draw").limit(most)
+        last = first.agg(F.max("draw")).first()[0]
         if last is not None:
-            chosen = rows.where((F.col("draw") <= last) & which).orderBy("draw", F.length("text"), "text")
+            near = rows.where(F.col("draw") <= last).where(_hint() == hint)
+            chosen = near.orderBy("draw", F.length("text"), "text")
             out += [r["text"] for r in chosen.limit(most).collect()]
     return out
 
