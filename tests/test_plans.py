@@ -3,11 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from tables import S1, S2, S3, entities, golden_pairs, pairs, truth
 
 from twinfold.operators import exact, ngrams, outputs, tokens
 from twinfold.operators.features import RAW_TEXT, pair_features
-from twinfold.operators.similarity import fuzzy_features
+from twinfold.operators.similarity import fuzzy_features, text_scores
 from twinfold.operators.truth import evaluate_blocking, missed_details
 from twinfold.session import stage
 
@@ -79,8 +80,12 @@ def test_shuffle_counts(stored):
 
 def test_similarity_crosses_to_python_once(stored):
     s1, c, _, wanted = stored
-    text = plan(fuzzy_features(pair_features(wanted, s1, c)))
-    assert text.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in text
+    key = F.col("name1").cast("binary").alias("text_key")
+    texts = pair_features(wanted, s1, c).select(key, F.col("name1").alias("a"), F.col("name2").alias("b"))
+    text = plan(text_scores(texts))
+    assert text.count("MapInArrow") == 1 and "EvalPython" not in text
+    whole = plan(fuzzy_features(pair_features(wanted, s1, c)))
+    assert "MapInArrow" not in whole and "EvalPython" not in whole  # scores come from a written table
     assert not set(RAW_TEXT) & set(fuzzy_features(pair_features(wanted, s1, c)).columns)
 
 

@@ -2,12 +2,14 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tables import GOLDEN, S1, S2, S3, entities, golden_pairs, pairs
 
 from twinfold.functions import lcs
 from twinfold.operators.features import RAW_TEXT, pair_features
+from twinfold.operators import similarity
 from twinfold.operators.similarity import SCORES, fuzzy_features
 
 NAMES = [f"{f}_{s}" for f in ("name", "address") for s in SCORES]
@@ -143,3 +145,33 @@ def test_repeated_entity_repeats_its_pairs(spark):
     s1 = entities(spark, [("a", "x", "y"), ("a", "z", "y")])
     c = entities(spark, [("c", "x", "y")])
     assert pair_features(pairs(spark, [("a", "c")]), s1, c).count() == 2
+
+
+def test_equal_comparisons_are_made_once(spark, monkeypatch):
+    """Pairs of the same two texts share a comparison, and equal texts need none."""
+    seen = []
+    by_cost = similarity.by_cost
+    monkeypatch.setattr(similarity, "by_cost", lambda df, *a: seen.append(df.count()) or by_cost(df, *a))
+    draw = random.Random(3)
+    long = [" ".join(draw.choice(["ab", "b", "cde", "f"]) for _ in range(n)) for n in (40, 60, 200)]
+    names = [*long, long[0], None, ""]
+    s1 = entities(spark, [(f"a{i}", t, long[i % 2], None) for i, t in enumerate(names)])
+    c = entities(spark, [(f"c{i}", t, long[0], None) for i, t in enumerate(names)])
+    wanted = pairs(spark, [(f"a{i}", f"c{j}") for i in range(6) for j in range(6)])
+    rows = fuzzy_features(pair_features(wanted, s1, c)).collect()
+    assert len(rows) == 36
+    for r in rows:
+        a, b = (names[int(x[1:])] or "" for x in r[:2])
+        assert [r[n] for n in NAMES[:4]] == pytest.approx(by_hand(a, b)), (a, b)
+        assert [r[n] for n in NAMES[4:]] == pytest.approx(by_hand(long[int(r[0][1:]) % 2], long[0]))
+    # Different names: three long ones and the empty one, both ways round; the one address pair is among them.
+    assert seen == [12]
+
+
+def test_comparisons_are_dealt_by_cost(spark):
+    costs = [1] * 5000 + [900] * 50 + [40_000] * 6
+    rows = spark.createDataFrame(enumerate(costs), "text_key long, cost long")
+    dealt = similarity.by_cost(rows, F.col("cost"), "text_key", task_cost=50_000)
+    tasks = [sum(r["cost"] for r in task) for task in dealt.rdd.glom().collect()]
+    assert max(tasks) <= 3 * 40_000 and sum(tasks) == sum(costs) and len(tasks) >= 6
+    assert similarity.by_cost(rows.limit(0), F.col("cost"), "text_key").count() == 0

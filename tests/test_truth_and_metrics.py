@@ -108,7 +108,7 @@ def test_metrics_against_definition(spark):
     expected = sweep_by_hand(rows)
     assert [(r.threshold, r.true_positives, r.false_positives) for r in found] == [e[:3] for e in expected]
     assert [r.f0_5 for r in found] == pytest.approx([e[3] for e in expected])
-    ranked = metrics.ranked_scores(df, "label", "match_probability", ranges=7)
+    ranked = metrics.ranked_scores(df, "label", "match_probability", rows_per_task=70)
     assert metrics._roc(ranked).first()[0] == pytest.approx(auc_by_hand(rows))
     assert metrics._average_precision(ranked).first()[0] == pytest.approx(ap_by_hand(rows))
     both = metrics.ranking_quality(df).first()
@@ -116,6 +116,27 @@ def test_metrics_against_definition(spark):
     assert both.average_precision == pytest.approx(ap_by_hand(rows))
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 40])
+def test_running_sums_by_ranges_of_ranges(spark, monkeypatch, rows_per_task):
+    """However many scores there are, a task gets few of them, and few sums of ranges."""
+    rng = random.Random(6)
+    df = scored(spark, [(int(rng.random() < 0.4), rng.random()) for _ in range(2000 if rows_per_task > 1 else 25)])
+    levels = []
+    above = metrics._above
+    monkeypatch.setattr(metrics, "_above", lambda sums, n: levels.append(sums.count()) or above(sums, n))
+    staged = []
+    stage = metrics.stage
+    monkeypatch.setattr(metrics, "stage", lambda x: staged.append(stage(x)) or staged[-1])
+    ranked = metrics.ranked_scores(df, "label", "match_probability", rows_per_task)
+    placed = next(x for x in staged if {"range", "score"} <= {*x.columns})
+    most = placed.groupBy("range").count().agg({"count": "max"}).first()[0]
+    assert most <= 4 * rows_per_task and len(levels) > 1 and levels[-1] <= max(2, rows_per_task)
+    monkeypatch.undo()
+    columns = ["score", "pos", "neg", "tp", "fp", "positives", "negatives"]
+    whole = metrics.ranked_scores(df, "label", "match_probability")
+    assert sorted(map(tuple, ranked.select(*columns).collect())) == sorted(map(tuple, whole.select(*columns).collect()))
+
+
 def test_metrics_of_one_class(spark):
     only = scored(spark, [(0, 0.3), (0, 0.3), (0, 0.9)])
     assert metrics.roc_auc(only).first()[0] is None

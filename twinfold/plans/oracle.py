@@ -321,6 +321,37 @@ def similarity_ctes(field: str) -> str:
       FROM {f}_lcs JOIN {f}_partial USING (a, b))"""
 
 
+# Subsequences of long texts, a row of the table at a time for all pairs.
+NEIGHBOURS = """
+WITH RECURSIVE items AS (
+  SELECT item_id, text AS a, lead(text) OVER (PARTITION BY substr(text, 1, 1) ORDER BY item_id) AS b
+  FROM benchmark),
+pairs AS (SELECT item_id, a, b FROM items WHERE b IS NOT NULL),
+texts AS (
+  SELECT item_id, 'ratio' AS kind, a, b FROM pairs
+  UNION ALL
+  SELECT item_id, 'token_sort',
+    array_to_string(list_sort(list_filter(regexp_split_to_array(a, '\\s+'), lambda w: w <> '')), ' '),
+    array_to_string(list_sort(list_filter(regexp_split_to_array(b, '\\s+'), lambda w: w <> '')), ' ')
+  FROM pairs),
+cells AS (
+  SELECT item_id, kind, a, length(a) AS n, length(b) AS m, 0 AS i,
+         unnest(range(1, length(b) + 1)) AS j, unnest(string_split(b, '')) AS y, 0 AS v
+  FROM texts
+  UNION ALL
+  SELECT item_id, kind, a, n, m, i + 1, j, y,
+         max(greatest(v, CASE WHEN substr(a, i + 1, 1) = y THEN diagonal + 1 ELSE 0 END))
+           OVER (PARTITION BY item_id, kind ORDER BY j ROWS UNBOUNDED PRECEDING)
+  FROM (SELECT *, coalesce(lag(v) OVER (PARTITION BY item_id, kind ORDER BY j), 0) AS diagonal
+        FROM cells WHERE i < n)),
+scores AS (
+  SELECT item_id, kind, round(200.0 * max(v) / (max(n) + max(m)), 6) AS score
+  FROM cells WHERE i = n GROUP BY ALL)
+SELECT item_id, max(score) FILTER (kind = 'ratio') AS ratio,
+       max(score) FILTER (kind = 'token_sort') AS token_sort_ratio
+FROM scores GROUP BY item_id"""
+
+
 def lines(select: str, *ctes: str) -> str:
     return f"WITH {', '.join([LINES, *ctes])} {select}"
 
@@ -534,6 +565,7 @@ ORACLE: dict[str, str] = {
     "pair_features_parts": parts(
         "SELECT * FROM features", NGRAM, pairs_cte("SELECT * FROM topk"), FEATURES
     ),
+    "fuzzy_neighbours": NEIGHBOURS,
     "fuzzy_features_parts": parts(
         f"""SELECT {NUMERIC},
               round(n.ratio, 6) AS name_ratio, round(n.partial, 6) AS name_partial_ratio,

@@ -13,7 +13,7 @@ from twinfold.operators.counts import count_rows, one_row
 from twinfold.operators.features import RAW_TEXT, pair_features
 from twinfold.operators.pairs import block_coverage, new_pairs, union_pairs
 from twinfold.operators.sampling import grouped_split, keyed_sample
-from twinfold.operators.similarity import fuzzy_features
+from twinfold.operators.similarity import fuzzy_features, text_scores
 from twinfold.plans.cards import ALSO_DIRTY, Cards, dirty_cards, line_cards, part_cards, truth_lists
 from twinfold.plans.jobs import save_matcher, score_job
 from twinfold.session import shared_folder, stage, together
@@ -364,6 +364,20 @@ def fuzzy_features_lines(c: Cards) -> DataFrame:
     return c.derived("fuzzy", lambda: fuzzy_features(_line_features(c)))
 
 
+def fuzzy_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items, which are long texts, each against the next that begins with the same letter."""
+    following = Window.partitionBy(F.substring("text", 1, 1)).orderBy("item_id")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    pairs = items.select("item_id", F.col("text").alias("a"), F.lead("text").over(following).alias("b"))
+    keyed = stage(pairs.where("b is not null").withColumn("text_key", F.col("item_id").cast("string").cast("binary")))
+    found = text_scores(keyed.select("text_key", "a", "b")).select("text_key", "found.*")
+    scores = found.select("text_key", *(F.round(c, 6).alias(c) for c in ("ratio", "token_sort_ratio")))
+    return keyed.join(scores, "text_key").select("item_id", "ratio", "token_sort_ratio")
+
+
+REGISTRY["fuzzy_neighbours"] = fuzzy_neighbours
+
+
 def _part_features(c: Cards) -> DataFrame:
     return pair_features(ngrams.ngram_block(c.s1, c.candidates), c.s1, c.candidates)
 
