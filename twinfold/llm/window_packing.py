@@ -34,7 +34,8 @@ from twinfold.session import stage
 
 WINDOW = 1024
 SEPARATOR = 0
-CACHED_BYTES = 32 << 20  # of words whose ids are kept by a worker
+CACHED_BYTES = 128 << 20  # of words whose ids are kept by a worker
+TOGETHER = 1 << 20  # characters of texts that are encoded together
 CACHED_LENGTH = 64
 SPECIAL = "<|"  # a text with this may hold a special token and is encoded as a whole
 ROUNDS = 400  # of the fit
@@ -72,6 +73,17 @@ class WordEncoder:
             return WORDS.split(text)
         return [words[0], *[" " + w for w in words[1:]]]
 
+    def each(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text, some texts at a time."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self(some)
+                some, size = [], 0
+        yield from self(some)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [None if SPECIAL in t else self._words(t) for t in texts]
         known = self.known
@@ -112,7 +124,8 @@ def cut_documents(
 
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {c: [] for c in names}
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").to_pylist())):
+            texts = batch.column("text").to_pylist()
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.each(texts)):
                 ids += end
                 n = len(ids) // 4
                 for at in range(0, n, window):
