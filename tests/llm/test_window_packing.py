@@ -32,7 +32,7 @@ def encoder():
     return wp.WordEncoder(BYTE_TOKENIZER), tokenizer()
 
 
-ODD = [" ", "  ", "\n", "\t", "\r\n", "\xa0", "\u3000", "\x1c", "\x85", "a", "B", "é", "7", "it's", "'ll", "...", "<|endoftext|>", "<|", "日本", "🙂", "x" * 70]
+ODD = ["word", ".", ",\"", "'", "\n\n", "\0", " a", " b.", " ", "  ", "\n", "\t", "\r\n", "\xa0", "\u3000", "\x1c", "\x85", "a", "B", "é", "7", "it's", "'ll", "...", "<|endoftext|>", "<|", "日本", "🙂", "x" * 70]
 
 
 @settings(max_examples=300, deadline=None)
@@ -50,6 +50,8 @@ def test_known_words_are_bounded(encoder, monkeypatch):
     texts = [f"a{i} b{i % 7} {'z' * 80}" for i in range(200)]
     assert [len(x) for x in ours(texts)] == [len(x) for x in encoder[0](texts)]
     assert ours.held <= 1000
+    monkeypatch.setattr(wp, "TOGETHER", 50)
+    assert [*ours.each(texts)] == encoder[0](texts) and [*ours.each([])] == []
 
 
 def placed(plan, counts):

@@ -22,6 +22,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import map_batches, schema_of, text_or_empty
+from twinfold.llm.common import held, map_batches, schema_of, text_or_empty
 from twinfold.session import stage
 
 WINDOW = 1024
 SEPARATOR = 0
-CACHED_BYTES = 128 << 20  # of words whose ids are kept by a worker
+CACHED_BYTES = 256 << 20  # of words whose ids are kept by a worker
 TOGETHER = 1 << 20  # characters of texts that are encoded together
 CACHED_LENGTH = 64
 SPECIAL = "<|"  # a text with this may hold a special token and is encoded as a whole
@@ -43,7 +45,11 @@ CLOSE = 1e-4  # of the histogram: change between rounds that ends the fit
 
 # A space before a character that is no white space begins a word of the tokenizer.
 WORDS = re.compile(r"(?<=.)(?= \S)", re.DOTALL)
-WIDE_SPACE = re.compile(r" (?:\s|\Z)")
+# White space that is neither single nor a pair of line ends.
+RARE_SPACE = re.compile(r"[^\S \n]")
+UNEVEN = ("  ", " \n", "\n ", "\n\n\n", "\0")
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+PUNCTUATION = "!\"#$%&()*+,./:;<=>?@[]^_`{|}~-"
 
 Run = tuple[int, int, int, int, int, int]  # length, first rank, tails, window, each, offset
 
@@ -51,8 +57,8 @@ Run = tuple[int, int, int, int, int, int]  # length, first rank, tails, window,
 class WordEncoder:
     """Token ids as little-endian bytes, by the tokenizers library.
 
-    No token of a byte-level tokenizer spans the place before a space that a visible character
-    follows, so ids of the stretches between such places are kept and joined.
+    A byte-level tokenizer begins a token at a space before a visible character, on either side of a line
+    end, and where a letter meets punctuation.  So ids of the stretches between are kept and joined.
     """
 
     def __init__(self, path: str):
@@ -60,18 +66,35 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, bytes] = {"": b""}
         self.held = 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        return [array("I", f.ids).tobytes() for f in found]
 
     def _words(self, text: str) -> list[str]:
-        words = text.split(" ")
-        if WIDE_SPACE.search(text):
+        if text[-1:].isspace() or any(u in text for u in UNEVEN) or RARE_SPACE.search(text):
             return WORDS.split(text)
-        return [words[0], *[" " + w for w in words[1:]]]
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def _learn(self, words: set[str]) -> None:
+        known, cut = self.known, {}
+        for word in words:
+            stem = word.rstrip(PUNCTUATION)
+            if stem != word and stem[-1:] in LETTERS:
+                cut[word] = stem, word[len(stem) :]
+        parts = {p for pair in cut.values() for p in pair}.union(words.difference(cut))
+        new = list(parts.difference(known))
+        for word, ids in zip(new, self._ids(new)):
+            known[word] = ids
+            self.held += 200 + len(ids) + len(word)
+        for word, (stem, end) in cut.items():
+            known[word] = ids = known[stem] + known[end]
+            self.held += 200 + len(ids) + len(word)
 
     def each(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, some texts at a time."""
@@ -85,25 +108,17 @@ class WordEncoder:
         yield from self(some)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [None if SPECIAL in t else self._words(t) for t in texts]
-        known = self.known
-        new = {w for words in split if words is not None for w in words if w not in known}
-        long = {w for w in new if len(w) > CACHED_LENGTH}
-        added = list(new.difference(long))
-        ids = dict(zip(long, self._ids(list(long))))
-        for word, found in zip(added, self._ids(added)):
-            known[word] = found
-            self.held += 200 + len(found) + 2 * len(word)
-        out = []
-        for text, words in zip(texts, split):
-            if words is None:
-                out += self._ids([text])
-            elif long:
-                out.append(b"".join([known[w] if w in known else ids[w] for w in words]))
-            else:
-                out.append(b"".join(map(known.__getitem__, words)))
+        split = [() if SPECIAL in t else self._words(t) for t in texts]
+        new = set().union(*split).difference(self.known)
+        long = [w for w in new if len(w) > CACHED_LENGTH]
+        self._learn(new.difference(long))
+        known = ChainMap(dict(zip(long, self._ids(long))), self.known) if long else self.known
+        out = [
+            b"".join(map(known.__getitem__, words)) if words else self._ids([text])[0]
+            for text, words in zip(texts, split)
+        ]
         if self.held > CACHED_BYTES:
-            self.known, self.held = {}, 0
+            self.clear()
         return out
 
 
@@ -120,7 +135,8 @@ def cut_documents(
     names = schema_of(ddl).names
 
     def start():
-        encode, end = WordEncoder(tokenizer_path), np.array([SEPARATOR], "<u4").tobytes()
+        encode = held("window packing", tokenizer_path, lambda: WordEncoder(tokenizer_path))
+        end = np.array([SEPARATOR], "<u4").tobytes()
 
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {c: [] for c in names}
