@@ -327,6 +327,16 @@ def test_ngram_probabilities_sum_to_one():
         assert sum(probability(v, w) for w in [*count, b"unknown"]) == pytest.approx(1)
 
 
+def test_ngram_counts_beyond_32_bits(docs, monkeypatch):
+    """With a lowered bound the scores stay what they were, as large counts have an array of their own."""
+    columns = ("doc_id", "n_tokens", "score")
+    plain = sorted(rows_of(kneser_ney.score_held_out(docs), *columns), key=str)
+    monkeypatch.setattr(kneser_ney, "MOST", 2)
+    assert sorted(rows_of(kneser_ney.score_held_out(docs), *columns), key=str) == plain
+    rows = np.array([(1, 2, 2**32 - 1), (1, 2, 7), (0, 5, 1)], kneser_ney.PAIR)
+    assert kneser_ney.summed_pairs(rows).tolist() == [(0, 5, 1), (1, 2, 2**32 + 6)]
+
+
 def test_ngram_hot_words_are_spread():
     hot = kneser_ney.Hot([(int(np.uint64(2**63 + 5).view(np.int64)), 8)])
     a = np.full(1000, 2**63 + 5, np.uint64)

@@ -39,7 +39,9 @@ FLUSH = 3_000_000  # tokens a task holds before it hands their counts on
 SHARD_TOKENS = 4_000_000  # tokens of the corpus per shard of the model
 
 WORD = np.dtype([("key", "<u8"), ("n", "<u8")])
-PAIR = np.dtype([("a", "<u8"), ("b", "<u8"), ("n", "<u4")])
+PAIR = np.dtype([("a", "<u8"), ("b", "<u8"), ("n", "<u4")])  # of one flush
+SUM = np.dtype([("a", "<u8"), ("b", "<u8"), ("n", "<u8")])
+MOST = 2**32 - 1  # a count in the files from which on it stands in an array of its own
 
 
 def token_hashes(text: str) -> np.ndarray:
@@ -73,15 +75,15 @@ def summed_words(rows: np.ndarray) -> np.ndarray:
 
 
 def summed_pairs(rows: np.ndarray) -> np.ndarray:
-    """Rows of PAIR with different, ascending pairs."""
+    """Rows of SUM with different, ascending pairs."""
     rows = rows[np.lexsort((rows["b"], rows["a"]))]
     if not len(rows):
-        return rows
+        return rows.astype(SUM)
     new = np.ones(len(rows), bool)
     new[1:] = (rows["a"][1:] != rows["a"][:-1]) | (rows["b"][1:] != rows["b"][:-1])
     first = np.flatnonzero(new)
-    out = rows[first].copy()
-    out["n"] = np.add.reduceat(rows["n"].astype(np.int64), first).clip(max=2**32 - 1)
+    out = rows[first].astype(SUM)
+    out["n"] = np.add.reduceat(rows["n"].astype(np.uint64), first)
     return out
 
 
@@ -154,7 +156,7 @@ def _count(texts: DataFrame, shards: int, hot: Hot | None) -> DataFrame:
                     rows["a"][at], rows["a"][at + 1 : at + len(h)] = BEGIN, h[:-1]
                     rows["b"][at : at + len(h)], at = h, at + len(h)
                 rows["n"] = 1
-                rows = summed_pairs(rows)
+                rows = summed_pairs(rows).astype(PAIR)
                 blocks_by_shard(rows, hot.shard(rows["a"], rows["b"], shards), parts)
             held.clear()
             n = 0
@@ -172,8 +174,8 @@ def _count(texts: DataFrame, shards: int, hot: Hot | None) -> DataFrame:
     return texts.mapInArrow(run, "shard int, block binary")
 
 
-def _by_shard(blocks: DataFrame, dtype: np.dtype, finish, ddl: str) -> DataFrame:
-    """``finish(shard, rows)``, a list of output rows, for all rows of each shard."""
+def _by_shard(blocks: DataFrame, dtype: np.dtype, finish, ddl: str, shards: int) -> DataFrame:
+    """``finish(shard, rows)``, a list of output rows, for all rows of each shard, in a task for each."""
     names = [c.split()[0] for c in ddl.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +194,8 @@ def _by_shard(blocks: DataFrame, dtype: np.dtype, finish, ddl: str) -> DataFrame
         if parts:
             yield done(last, parts)
 
-    return blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, ddl)
+    dealt = blocks.repartitionById(shards, F.col("shard").cast("int"))
+    return dealt.sortWithinPartitions("shard").mapInArrow(run, ddl)
 
 
 def _save(folder: str, columns: dict[str, np.ndarray]) -> str:
@@ -223,7 +226,7 @@ class Part:
 
 
 WORD_COLUMNS = {"key": "<u8", "count": "<u8", "before": "<u8", "after": "<u8", "one": "<u4", "two": "<u4", "more": "<u4"}
-PAIR_COLUMNS = {"key": "<u8", "count": "<u4"}
+PAIR_COLUMNS = {"key": "<u8", "count": "<u4", "large_key": "<u8", "large": "<u8"}
 CONTEXT = np.dtype([("key", "<u8"), ("before", "<u8"), ("after", "<u8"), ("one", "<u4"), ("two", "<u4"), ("more", "<u4")])
 
 
@@ -232,7 +235,7 @@ class Model:
 
     def __init__(self, folder: str, shards: int, words: dict[int, str], pairs: dict[int, list[str]],
                  tokens: int, vocabulary: int, types: int, word_discounts: np.ndarray, pair_discounts: np.ndarray,
-                 word_types: np.ndarray, hot: Hot):
+                 word_types: np.ndarray, hot: Hot, most: int):
         self.__dict__.update({k: v for k, v in locals().items() if k != "self"})
 
 
@@ -252,7 +255,7 @@ def _context_sums(pairs: np.ndarray) -> np.ndarray:
 
 def train(documents: DataFrame) -> Model:
     """The model of the texts of ``documents`` (null: empty), in files of the shared folder."""
-    spark = documents.sparkSession
+    spark, most = documents.sparkSession, MOST
     folder = local_path(new_folder(spark, "ngrams"))
     texts = documents.select(text_or_empty().alias("text"))
     size = texts.agg(F.sum(F.length("text") / 5 + 1)).first()[0] or 1
@@ -265,7 +268,7 @@ def train(documents: DataFrame) -> Model:
         return [(shard, _save(folder, {"key": rows["key"], "count": rows["n"]}), int(rows["n"].sum()), len(rows), most)]
 
     counted = stage(
-        _by_shard(_count(texts, shards, None), WORD, count_words, "shard long, name string, tokens long, words long, most string")
+        _by_shard(_count(texts, shards, None), WORD, count_words, "shard long, name string, tokens long, words long, most string", shards)
     ).collect()  # a row per shard
     tokens, vocabulary = sum(r["tokens"] for r in counted), sum(r["words"] for r in counted)
     share = max(tokens // shards // 4, 1)
@@ -282,7 +285,10 @@ def train(documents: DataFrame) -> Model:
         rows = summed_pairs(rows)
         key = mixed(rows["a"], rows["b"])
         order = np.argsort(key)
-        name = _save(folder, {"key": key[order], "count": rows["n"][order]})
+        key, count = key[order], rows["n"][order]
+        large = count >= most
+        columns = {"key": key, "count": np.minimum(count, most).astype("<u4")}
+        name = _save(folder, columns | {"large_key": key[large], "large": count[large]})
         sums = _context_sums(rows)
         parts: list = []
         blocks_by_shard(sums, shard_of(sums["key"], shards), parts)
@@ -291,7 +297,7 @@ def train(documents: DataFrame) -> Model:
         return out + [(shard, "", 0, 0, 0, 0, 0, s, b) for s, b in parts]
 
     ddl = "pair_shard long, name string, types long, n1 long, n2 long, n3 long, n4 long, shard long, block binary"
-    paired = stage(_by_shard(_count(texts, shards, hot), PAIR, count_pairs, ddl))
+    paired = stage(_by_shard(_count(texts, shards, hot), PAIR, count_pairs, ddl, shards))
     pair_rows = paired.where("shard < 0").drop("block").collect()  # a row per shard
     word_names = {r["shard"]: r["name"] for r in counted}
 
@@ -312,7 +318,7 @@ def train(documents: DataFrame) -> Model:
 
     blocks = paired.where("shard >= 0").select("shard", "block")
     ddl = "shard long, name string, n1 long, n2 long, n3 long, n4 long, one long, two long, more long"
-    words = stage(_by_shard(blocks, CONTEXT, finish_words, ddl)).collect()  # a row per shard
+    words = stage(_by_shard(blocks, CONTEXT, finish_words, ddl, shards)).collect()  # a row per shard
     for name in word_names.values():  # replaced by the finished tables
         for column in ("key", "count"):
             os.remove(os.path.join(folder, f"{name}.{column}"))
@@ -321,7 +327,7 @@ def train(documents: DataFrame) -> Model:
     return Model(
         folder, shards, {r["shard"]: r["name"] for r in words}, {r["pair_shard"]: r["name"] for r in pair_rows},
         tokens, vocabulary, sum(r["types"] for r in pair_rows), discounts(sums(words, quarters)),
-        discounts(sums(pair_rows, quarters)), sums(words, ("one", "two", "more")), hot,
+        discounts(sums(pair_rows, quarters)), sums(words, ("one", "two", "more")), hot, most,
     )
 
 
@@ -350,6 +356,9 @@ class Scorer:
             at, there = part.find(keys[mine])
             for values, column in zip(out, wanted):
                 values[mine[there]] = getattr(part, column)[at[there]]
+                if column == "count" and "large" in columns and len(part.large):
+                    over = mine[there][values[mine[there]] >= self.m.most]
+                    values[over] = part.large[np.searchsorted(part.large_key, keys[over])]
         return out
 
     def log_probabilities(self, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
