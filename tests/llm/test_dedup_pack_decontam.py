@@ -167,13 +167,34 @@ def test_simhash_tiles_of_a_large_shard(spark, monkeypatch):
     df = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
     links = near_links(df).collect()
     index = {int(np.uint64(f).view(np.int64)): i for i, f in enumerate(fps)}
+    near = {i: [j for j, g in enumerate(fps) if (f ^ g).bit_count() <= 4] for i, f in enumerate(fps)}
+    want = {}
+    for i in range(len(fps)):  # who can be reached
+        reached, ahead = {i}, [i]
+        while ahead:
+            ahead = [j for x in ahead for j in near[x] if j not in reached and not reached.add(j)]
+        want[i] = frozenset(reached)
     root = list(range(len(fps)))
     for r in links:
-        assert ((r.a ^ r.b) & (2**64 - 1)).bit_count() <= 64
+        assert index[r.b] in want[index[r.a]]
         a, b = root[index[r.a]], root[index[r.b]]
         root = [a if x == b else x for x in root]
-    want = brute_components(fps, list(range(len(fps))))
-    assert len(set(root)) == len(set(want))
+    assert {frozenset(j for j, x in enumerate(root) if x == y) for y in set(root)} == set(want.values())
+
+
+def test_components_of_a_star(spark, monkeypatch):
+    """The links of a centre are dealt over several tasks, and nothing is lost."""
+    from twinfold.llm import components as module
+
+    monkeypatch.setattr(module, "LEAST_SHARE", 3)
+    dealt = []
+    join = module.spread_join
+    monkeypatch.setattr(module, "spread_join", lambda a, b, k, hot, **w: dealt.append(hot is not None) or join(a, b, k, hot, **w))
+    rows = [(500, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1040)] + [(7, 7)]
+    links = spark.createDataFrame(rows + rows[:9], "a long, b long")
+    found = {r.vertex: r.root for r in module.components(links).collect()}
+    assert found == {i: 1 for i in [*range(2, 300), 500]} | {i: 1000 for i in range(1001, 1041)}
+    assert any(dealt)
 
 
 def test_pieces_and_packing(docs):
