@@ -28,6 +28,8 @@ HEADLINE = [
     "fuzzy_features_parts",
     "fuzzy_features_lines",
     "train_sample",
+    "fuzzy_neighbours",
+    "matcher_metrics",
     "threshold_sweep",
     "roc_auc",
     "average_precision",

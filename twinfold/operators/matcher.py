@@ -117,8 +117,8 @@ class TreeSettings:
         )
 
 
-# Rounds that are fitted before the held-out loss is looked at; then all that are allowed.
-FIRST_ROUNDS = 400
+# Rounds that are fitted before the held-out loss is looked at: twice the patience; then three times as many.
+FIRST_ROUNDS = 150
 
 
 def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
@@ -166,7 +166,7 @@ def _fit_trees(train: DataFrame, judge: DataFrame, settings: TreeSettings) -> GB
         best, stopped = best_round(model.evaluateEachIteration(judge), settings.patience)
         if stopped or rounds == settings.rounds:
             return model if best == rounds else first_trees(model, best)
-        rounds = settings.rounds
+        rounds = min(3 * rounds, settings.rounds)
 
 
 def _importance(spark: SparkSession, model: PipelineModel, names: list[str]) -> DataFrame:

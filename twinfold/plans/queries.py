@@ -497,7 +497,8 @@ def _fitted(c: Cards) -> tuple[matcher.Matcher, DataFrame]:
     key = (c.spark.sparkContext.applicationId, c.sf_dir)
     if key not in _matchers:
         sample = matcher.training_sample(features, stage(_truth(c)))
-        settings = matcher.TreeSettings(min_rows_per_leaf=5)
+        # The tables give about a thousand rows to train on: small leaves and large steps.
+        settings = matcher.TreeSettings(step=0.3, min_rows_per_leaf=5)
         _matchers[key] = matcher.fit_matcher(sample, settings=settings)
     return _matchers[key], features
 
