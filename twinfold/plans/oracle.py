@@ -460,6 +460,12 @@ QUALITY = """
                (SELECT count(*) FROM s1) * (SELECT count(*) FROM c) AS all_pairs)"""
 
 ORACLE: dict[str, str] = {
+    "cleaned_features": """
+      SELECT CAST(p_partkey AS VARCHAR) AS source1_entity_id, p_name AS candidate_entity_id,
+             CASE WHEN p_partkey % 3 = 0 OR p_size IS NULL THEN 0.0 ELSE CAST(p_size AS DOUBLE) END AS size,
+             CASE WHEN p_partkey % 5 = 0 OR p_partkey % 7 = 0 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0
+                    OR p_retailprice IS NULL THEN 0.0 ELSE CAST(p_retailprice AS DOUBLE) END AS price
+      FROM part""",
     "entity_view": lines("SELECT * FROM cards"),
     "candidate_table": lines("SELECT * FROM c"),
     "part_view": parts("SELECT * FROM cards"),

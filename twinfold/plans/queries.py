@@ -503,6 +503,25 @@ def _fitted(c: Cards) -> tuple[matcher.Matcher, DataFrame]:
     return _matchers[key], features
 
 
+def cleaned_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of all parts with planted faults (null, not a number, both infinities), as a model gets them."""
+    key = F.col("p_partkey")
+    faults = ((5, None), (7, "nan"), (11, "inf"), (13, "-inf"))
+    price = F.col("p_retailprice").cast("double")
+    for every, fault in faults:
+        price = F.when(key % every == 0, F.lit(fault).cast("double")).otherwise(price)
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        key.cast("string").alias(PAIR[0]),
+        F.col("p_name").alias(PAIR[1]),
+        F.when(key % 3 != 0, F.col("p_size")).alias("size"),
+        price.alias("price"),
+    )
+    return matcher.clean_features(rows, matcher.model_features(rows))
+
+
+REGISTRY["cleaned_features"] = cleaned_features
+
+
 @query
 def matcher_scores(c: Cards) -> DataFrame:
     fitted, features = _fitted(c)
