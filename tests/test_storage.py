@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from tables import S1, S2, S3, entities, golden_pairs, pairs
 
+from twinfold.operators.outputs import id_lists
 from twinfold.plans import jobs
 from twinfold.session import owned_tables, shared_folder, stage, together
 from twinfold.sources.sinks import write_parquet, write_record, write_report, write_tsv
@@ -86,3 +87,12 @@ def test_rows_are_counted_by_the_write_itself(spark, tmp_path):
     rows = spark.range(0, 1000, 1, 3).mapInArrow(count, "id long")
     assert write_parquet(rows, f"{tmp_path}/out") == 1000 and passed.value == 1000
     assert write_tsv(spark.range(0), f"{tmp_path}/none", "id") == 0
+
+
+def test_a_list_that_is_too_long_names_its_entity(spark):
+    s1 = entities(spark, [("one", "a", "b"), ("two", "a", "b")])
+    wanted = pairs(spark, [("one", "x"), ("two", "x"), ("two", "yy"), ("two", "yy")])
+    found = {r[0]: r[1] for r in id_lists(s1, wanted, "ids", most=4).collect()}
+    assert found == {"one": "x", "two": "x,yy"}
+    with pytest.raises(Exception, match="ids of entity two takes more than 3 bytes"):
+        id_lists(s1, wanted, "ids", most=3).collect()

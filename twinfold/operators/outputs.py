@@ -31,14 +31,24 @@ def outside_candidates(positives: DataFrame, pairs: DataFrame) -> DataFrame:
     return positives.join(_pairs(pairs), PAIR, "left_anti")
 
 
-def id_lists(s1: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+LIST_BYTES = 1 << 30  # of one list; a field of a row can hold twice as much
+
+
+def id_lists(s1: DataFrame, pairs: DataFrame, name: str, most: int = LIST_BYTES) -> DataFrame:
     """Each entity of ``s1`` once, with its ids sorted and joined by commas, ``''``
     if it has none.  Ids are gathered per map task before the shuffle; the list
-    itself is one field of one row, as the format demands."""
+    itself is one field of one row, as the format demands.  A list of more than ``most``
+    bytes is an error that names the entity."""
     entities = s1.select(F.col("entity_id").cast("string").alias(PAIR[0])).distinct()
     lists = pairs.groupBy(PAIR[0]).agg(
         F.array_join(F.sort_array(F.collect_set(PAIR[1])), ",").alias(name)
     )
+    too_long = F.concat(
+        F.lit(f"{name} of entity "), PAIR[0], F.lit(f" takes more than {most} bytes")
+    )
+    lists = lists.withColumn(
+        name, F.when(F.octet_length(name) > most, F.raise_error(too_long)).otherwise(F.col(name))
+    )
     return entities.join(lists, PAIR[0], "left").fillna("", [name])
 
 
