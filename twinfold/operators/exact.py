@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from twinfold.functions.text import filled, short_key
 from twinfold.operators.pairs import union_pairs
-from twinfold.operators.postings import drop_common, meet, rare_postings
+from twinfold.operators.postings import common_filter, drop_common, meet, rare_postings
 from twinfold.operators.skew import hot_keys, hot_keys_of_both, spread_join
-from twinfold.session import together
+from twinfold.session import stage, together
 from twinfold.sources.entities import PAIR
 
 KEY = ["country_key", "text_key"]
@@ -39,10 +39,15 @@ def exact_rows(s1: DataFrame, candidates: DataFrame, column: str) -> DataFrame:
 def capped_rows(s1: DataFrame, candidates: DataFrame, column: str, cap: int) -> DataFrame:
     """The same for keys carried by at most ``cap`` candidate records."""
     index = keyed(candidates, column)
-    frequency = index.groupBy(*KEY).agg(F.count(F.lit(1)).alias("frequency"))
-    left = drop_common(keyed(s1, column), frequency, KEY, cap)
-    postings = rare_postings(index, frequency, KEY, KEY, cap)
-    return meet(left, postings, KEY, hot_keys(keyed(s1, column), KEY))
+
+    def vocabulary() -> tuple:
+        counted = stage(index.groupBy(*KEY).agg(F.count(F.lit(1)).alias("frequency")))
+        return counted, common_filter(counted, KEY, cap)
+
+    (frequency, maps), hot = together(vocabulary, lambda: hot_keys(keyed(s1, column), KEY))
+    left = drop_common(keyed(s1, column), frequency, KEY, cap, maps)
+    postings = rare_postings(index, frequency, KEY, KEY, cap, maps=maps)
+    return meet(left, postings, KEY, hot)
 
 
 def exact_pair_total(s1: DataFrame, candidates: DataFrame, column: str) -> DataFrame:

@@ -3,9 +3,9 @@
 A key (a token, a character gram, a whole name) is rare when at most ``cap``
 candidate records carry it.  Frequencies are counted first, with partial sums
 before the shuffle; only rare keys are then gathered, so a list never exceeds
-``cap`` ids.  Rows of the commonest keys are removed by a bounded broadcast
-before anything is shuffled by key: what remains per key is below
-``1/MAX_COMMON`` of all rows.
+``cap`` ids.  Rows of common keys are dropped before anything is shuffled by
+key: those of the ``MAX_COMMON`` commonest by an exact list, so that what remains
+per key is below ``1/MAX_COMMON`` of all rows, and nearly all others by two bit maps.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinfold.operators.key_filter import KeyFilter, key_filter
 from twinfold.operators.skew import Hot, spread_join
 
 MAX_COMMON = 2000
@@ -28,8 +29,16 @@ def common_keys(frequency: DataFrame, keys: list[str], cap: int) -> DataFrame:
     )
 
 
-def drop_common(index: DataFrame, frequency: DataFrame, keys: list[str], cap: int) -> DataFrame:
-    return index.join(F.broadcast(common_keys(frequency, keys, cap)), keys, "left_anti")
+def common_filter(frequency: DataFrame, keys: list[str], cap: int) -> KeyFilter | None:
+    """Bit maps for the common keys, if there are more than the list can name."""
+    return key_filter(frequency, keys, cap, MAX_COMMON)
+
+
+def drop_common(
+    index: DataFrame, frequency: DataFrame, keys: list[str], cap: int, maps: KeyFilter | None = None
+) -> DataFrame:
+    kept = maps.apply(index) if maps else index
+    return kept.join(F.broadcast(common_keys(frequency, keys, cap)), keys, "left_anti")
 
 
 def rare_postings(
@@ -39,11 +48,12 @@ def rare_postings(
     join_keys: list[str],
     cap: int,
     floor: int = 1,
+    maps: KeyFilter | None = None,
 ) -> DataFrame:
     """``join_keys, frequency, ids`` for each key with floor <= frequency <= cap."""
     rare = frequency.where(F.col("frequency").between(floor, cap))
     return (
-        drop_common(index, frequency, frequency_keys, cap)
+        drop_common(index, frequency, frequency_keys, cap, maps)
         .join(rare, frequency_keys)
         .groupBy(*join_keys)
         .agg(F.first("frequency").alias("frequency"), F.collect_set("entity_id").alias("ids"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from twinfold.functions.text import filled, record_tokens, short_key
 from twinfold.operators.pairs import union_pairs
-from twinfold.operators.postings import drop_common, meet, rare_postings
+from twinfold.operators.postings import common_filter, drop_common, meet, rare_postings
 from twinfold.operators.skew import hot_keys
 from twinfold.session import stage, together
 
@@ -104,12 +104,14 @@ def token_rows(
     listed = index(candidates)
     in_country = F.col("country_key").isNotNull()
     left = index(s1).where(in_country)
-    frequency, hot = together(
-        lambda: stage(_record_frequency(listed)),  # the vocabulary, read three times
-        lambda: hot_keys(left, keys),
-    )
-    postings = rare_postings(listed.where(in_country), frequency, ["token"], keys, max_freq)
-    kept = drop_common(left, frequency, ["token"], max_freq)
+
+    def vocabulary() -> tuple:
+        counted = stage(_record_frequency(listed))  # read several times
+        return counted, common_filter(counted, ["token"], max_freq)
+
+    (frequency, maps), hot = together(vocabulary, lambda: hot_keys(left, keys))
+    postings = rare_postings(listed.where(in_country), frequency, ["token"], keys, max_freq, maps=maps)
+    kept = drop_common(left, frequency, ["token"], max_freq, maps)
     return meet(kept, postings, keys, hot)
 
 
