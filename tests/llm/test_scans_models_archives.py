@@ -434,6 +434,7 @@ def brute_rules(url, rules, default="allow"):
     host = re.match(r"[^/?#]*", rest)[0]
     path = re.match(r"[^?#]*", rest[len(host) :])[0]
     host = ascii_lower(host)
+    rules = [(ascii_lower(h), p, v) for h, p, v in rules]
     fits = [(len(h) + len(p), len(h), h + p, v) for h, p, v in rules if h and (host == h or host.endswith("." + h)) and path.startswith(p)]
     best = max(fits, default=None)
     return host, path, best and best[2], best[3] if best else default
@@ -442,7 +443,7 @@ def brute_rules(url, rules, default="allow"):
 @pytest.mark.parametrize("block", [100_000, 2])
 def test_url_rules(spark, monkeypatch, block):
     monkeypatch.setattr("twinfold.llm.url_rules.BLOCK_RULES", block)
-    rules = RULES + [("a.example.org", "", "block"), ("b.a.example.org", "/es/x", "allow"), ("", "/", "block"), ("ample.org", "/", "block")]
+    rules = RULES + [("a.example.org", "", "block"), ("b.a.example.org", "/es/x", "allow"), ("", "/", "block"), ("ample.org", "/", "block"), ("É.ORG", "/fr/", "block")]
     hosts = ["org", "example.org", "A.Example.ORG", "b.a.example.org", "xample.org", "ample.org", "com", "x.com", "org.", ".org", "org:80", "a\x01b.org", "", "é.org", "É.org", "net"]
     paths = ["", "/", "/es/", "/es/x?y", "/en/12#z", "/fr/1", "/de/1/://", "?q=/", "#/fr/"]
     urls = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "org/", "://", "x://org/a://com/de/", "http://org/\n?", "http://org/a"] * 2

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinfold.llm.common import ascii_lower
 from twinfold.llm.urls import host_of, path_of, reversed_host
 from twinfold.session import stage
 
@@ -105,7 +106,7 @@ def _sweep(rules: list[Rule]):
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict``.
 
-    ``rules`` has ``host, path, verdict`` (allow or block).  A rule fits its host and all
+    ``rules`` has ``host, path, verdict`` (allow or block); of hosts, A-Z is lower-cased.  A rule fits its host and all
     subdomains where the path starts with its own; the longest (host and path, then host)
     wins, of two verdicts on one rule ``block``; pages without a rule get ``default``.  Rules
     with a null or an empty host are left out, a null path is empty.  A null url, or one
@@ -114,7 +115,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     """
     rules = stage(
         rules.where("host <> ''").select(
-            F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict"
+            ascii_lower(F.col("host")).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict"
         )
     )
     blocks = max(1, -(-rules.count() // BLOCK_RULES))
