@@ -1,9 +1,9 @@
 """What must not grow with the input: tables in the driver, rows in a task, pairs in a shuffle."""
 
 import pytest
-from tables import S1, S2, S3, as_set, entities, messy
+from tables import as_set, entities, messy
 
-from twinfold.operators import ngrams, postings
+from twinfold.operators import exact, ngrams, postings, tokens
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +50,42 @@ def test_lists_are_opened_in_tasks_by_their_ids(rough, monkeypatch):
     many = ngrams.gram_pair_scores(*rough, min_freq=1)
     assert many.rdd.getNumPartitions() > 8  # the session shuffles into 4
     assert as_set(many) == before
+
+
+def shuffled(df):
+    """What is shuffled by the ids of pairs."""
+    return [line for line in plan_of(df).splitlines() if "Exchange hashpartitioning(source1_entity_id" in line]
+
+
+def unique_rows(prefix, times):
+    rows = messy(prefix, times)
+    return rows[:-3]
+
+
+@pytest.fixture(scope="module")
+def keys(spark):
+    rows = unique_rows("a", 2), unique_rows("c", 3)
+    return *rows, entities(spark, rows[0]), entities(spark, rows[1])
+
+
+def test_exact_pairs_are_made_once_and_not_shuffled(keys):
+    _, _, s1, c = keys
+    block = exact.exact_block(s1, c)
+    assert not shuffled(block)
+    rows = [tuple(r) for r in block.collect()]
+    expected = as_set(exact.exact_rows(s1, c, "clean_name")) | as_set(exact.exact_rows(s1, c, "clean_address"))
+    assert len(rows) == len(set(rows)) and set(rows) == expected
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+@pytest.mark.parametrize("columns", [["clean_name"], ["clean_name", "clean_address"]])
+def test_combined_blocks_hold_each_pair_once(spark, keys, rough, columns, repeated):
+    """Ids that come twice with different texts included."""
+    s1, c = rough if repeated else keys[2:]
+    more = ngrams.ngram_block(s1, c, min_freq=1)
+    parts = [exact.exact_rows(s1, c, t) for t in exact.TEXTS] + [tokens.token_rows(s1, c, t, 4) for t in columns]
+    expected = set().union(*(as_set(part.distinct()) for part in parts))
+    rows = [tuple(r) for r in tokens.combined_block(s1, c, columns, 4).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == expected
+    rows = [tuple(r) for r in tokens.combined_block(s1, c, columns, 4, more=lambda: more).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == expected | as_set(more)
