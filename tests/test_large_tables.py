@@ -4,6 +4,7 @@ import pytest
 from tables import as_set, entities, messy
 
 from twinfold.operators import exact, ngrams, postings, tokens
+from twinfold.operators.features import pair_records
 
 
 @pytest.fixture(scope="module")
@@ -89,3 +90,9 @@ def test_combined_blocks_hold_each_pair_once(spark, keys, rough, columns, repeat
     assert len(rows) == len(set(rows)) and set(rows) == expected
     rows = [tuple(r) for r in tokens.combined_block(s1, c, columns, 4, more=lambda: more).collect()]
     assert len(rows) == len(set(rows)) and set(rows) == expected | as_set(more)
+
+
+def test_pairs_carry_short_digests(keys):
+    _, _, s1, c = keys
+    row = pair_records(exact.exact_block(s1, c), s1, c).first()
+    assert {len(row[f"{field}{side}_digest"]) for field in ("name", "address") for side in (1, 2)} == {16}
