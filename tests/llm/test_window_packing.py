@@ -6,6 +6,8 @@ from collections import Counter
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,6 +56,37 @@ def test_known_words_are_bounded(encoder, monkeypatch):
     assert [*ours.each(texts)] == encoder[0](texts) and [*ours.each([])] == []
 
 
+def test_words_are_looked_up_once_a_portion(encoder):
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, *key):
+            Counted.looked_up += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counted.looked_up += 1
+            return super().__getitem__(key)
+
+    ours, texts = wp.WordEncoder(BYTE_TOKENIZER), ["one two, three\nfour " + "five six " * 50 + "."] * 40
+    first = ours(texts)
+    ours.known = Counted(ours.known)
+    assert ours(texts) == first == encoder[0](texts)
+    assert 0 < Counted.looked_up < 50
+
+
+def test_white_space_that_splits_no_words():
+    """All that Python or the tokenizer takes for white space; slices of a column."""
+    odd = [c for c in map(chr, range(0x110000)) if c.isspace() and c not in " \n"]
+    kept = pa.array(["a b", "c\n\nd e", " f\n", *(f"x{c}y" for c in odd), "", "g h"])
+    uneven = pc.match_substring_regex(kept, wp.UNEVEN).to_pylist()
+    assert uneven == [False, False, True, *[True] * len(odd), False, False]
+    ours = wp.WordEncoder(BYTE_TOKENIZER)
+    for a in range(5):
+        found = [np.frombuffer(x, "<u4").tolist() for x in ours(kept.slice(a, len(kept) - a))]
+        assert found == [plain_ids(t).tolist()[:-1] for t in kept.to_pylist()[a:]]
+
+
 def placed(plan, counts):
     """Tokens of every window as (offset, tokens), all tails put in."""
     places, windows = plan.places(), {}

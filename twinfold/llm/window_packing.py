@@ -23,11 +23,11 @@ import os
 import re
 import zlib
 from array import array
-from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ from twinfold.session import stage
 WINDOW = 1024
 SEPARATOR = 0
 CACHED_BYTES = 256 << 20  # of words whose ids are kept by a worker
-TOGETHER = 1 << 20  # characters of texts that are encoded together
+TOGETHER = 8 << 20  # bytes of texts that are encoded together
 CACHED_LENGTH = 64
 SPECIAL = "<|"  # a text with this may hold a special token and is encoded as a whole
 ROUNDS = 400  # of the fit
@@ -45,20 +45,53 @@ CLOSE = 1e-4  # of the histogram: change between rounds that ends the fit
 
 # A space before a character that is no white space begins a word of the tokenizer.
 WORDS = re.compile(r"(?<=.)(?= \S)", re.DOTALL)
-# White space that is neither single nor a pair of line ends.
-RARE_SPACE = re.compile(r"[^\S \n]")
-UNEVEN = ("  ", " \n", "\n ", "\n\n\n", "\0")
-LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
-PUNCTUATION = "!\"#$%&()*+,./:;<=>?@[]^_`{|}~-"
+# White space that is neither single nor a pair of line ends, or ends the text; special tokens.
+OTHER_SPACE = (
+    r"\x{9}\x{b}-\x{d}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+UNEVEN = rf"  | \n|\n |\n\n\n|[ \n]\z|<\||[{OTHER_SPACE}]"
+LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+PUNCTUATION = b"!\"#$%&()*+,./:;<=>?@[]^_`{|}~-"
 
 Run = tuple[int, int, int, int, int, int]  # length, first rank, tails, window, each, offset
 
 
+def _longer(array: np.ndarray, size: int) -> np.ndarray:
+    """``array`` with room for ``size`` numbers."""
+    if size <= len(array):
+        return array
+    longer = np.zeros(2 * size, array.dtype)
+    longer[: len(array)] = array
+    return longer
+
+
+def _even_words(texts: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Words of texts in which no white space is ``UNEVEN``, and where each text's begin and the last's end.
+
+    A space begins a word, a line end is one.  The words are stretches of the bytes that the texts lie in.
+    """
+    _, bounds, data = texts.buffers()
+    bounds = np.frombuffer(bounds, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    size = int(bounds[-1] - bounds[0])
+    if not size:
+        return pa.array([], pa.binary()), np.zeros(len(texts) + 1, np.int64)
+    data = data.slice(int(bounds[0]), size)
+    chars, bounds = np.frombuffer(data, np.uint8), bounds - bounds[0]
+    line = chars == ord("\n")
+    begins = line | (chars == ord(" "))
+    begins[1:] |= line[:-1]
+    begins[bounds[bounds < size]] = True
+    at = np.append(np.flatnonzero(begins), size).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), data])
+    return words, np.searchsorted(at, bounds)
+
+
 class WordEncoder:
     """Token ids as little-endian bytes, by the tokenizers library.
 
     A byte-level tokenizer begins a token at a space before a visible character, on either side of a line
     end, and where a letter meets punctuation.  So ids of the stretches between are kept and joined.
+    Known words have numbers; the ids of all lie in one array.
     """
 
     def __init__(self, path: str):
@@ -69,54 +102,92 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, int] = {}
+        self.first, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)  # by number
+        self.ids = np.zeros(4096, np.uint32)
+        self.filled = 0  # of ``ids``
         self.held = 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", f.ids).tobytes() for f in found]
 
-    def _words(self, text: str) -> list[str]:
-        if text[-1:].isspace() or any(u in text for u in UNEVEN) or RARE_SPACE.search(text):
-            return WORDS.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def _learn(self, words: set[str]) -> None:
-        known, cut = self.known, {}
+    def _add(self, words: list[bytes], ids: list[bytes]) -> None:
+        at, n = len(self.known), len(self.known) + len(words)
+        joined = np.frombuffer(b"".join(ids), np.uint32)
+        self.first, self.count = _longer(self.first, n), _longer(self.count, n)
+        self.ids = _longer(self.ids, self.filled + len(joined))
+        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.count[at:n] = counts
+        self.first[at:n] = self.filled + np.cumsum(counts) - counts
+        self.ids[self.filled : self.filled + len(joined)] = joined
+        self.filled += len(joined)
+        self.known.update(zip(words, range(at, n)))
+        self.held += 200 * len(words) + 4 * len(joined) + sum(map(len, words))
+
+    def _learn(self, words: list[bytes]) -> None:
+        cut = {}
         for word in words:
             stem = word.rstrip(PUNCTUATION)
-            if stem != word and stem[-1:] in LETTERS:
+            if stem != word and stem and stem[-1] in LETTERS:
                 cut[word] = stem, word[len(stem) :]
-        parts = {p for pair in cut.values() for p in pair}.union(words.difference(cut))
-        new = list(parts.difference(known))
-        for word, ids in zip(new, self._ids(new)):
-            known[word] = ids
-            self.held += 200 + len(ids) + len(word)
-        for word, (stem, end) in cut.items():
-            known[word] = ids = known[stem] + known[end]
-            self.held += 200 + len(ids) + len(word)
-
-    def each(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text, some texts at a time."""
-        some, size = [], 0
-        for text in texts:
-            some.append(text)
-            size += len(text)
-            if size >= TOGETHER:
-                yield from self(some)
-                some, size = [], 0
-        yield from self(some)
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [() if SPECIAL in t else self._words(t) for t in texts]
-        new = set().union(*split).difference(self.known)
+        parts = {p for pair in cut.values() for p in pair}.union(w for w in words if w not in cut)
+        new = list(parts.difference(self.known))
+        self._add(new, self._ids([w.decode() for w in new]))
+        new = [w for w in cut if w not in self.known]
+        self._add(new, [self._of(cut[w][0]) + self._of(cut[w][1]) for w in new])
+
+    def _of(self, word: bytes) -> bytes:
+        number = self.known[word]
+        at = self.first[number]
+        return self.ids[at : at + self.count[number]].tobytes()
+
+    def _joined(self, words: pa.BinaryArray, bounds: np.ndarray) -> list[bytes]:
+        """Ids of each text, whose words are those from its bound to the next."""
+        encoded = words.dictionary_encode()
+        different = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = list(map(self.known.get, different))
+        new = [w for w, n in zip(different, number) if n is None]
+        self._learn([w for w in new if len(w) <= CACHED_LENGTH])
+        before = len(self.known), self.filled, self.held
         long = [w for w in new if len(w) > CACHED_LENGTH]
-        self._learn(new.difference(long))
-        known = ChainMap(dict(zip(long, self._ids(long))), self.known) if long else self.known
-        out = [
-            b"".join(map(known.__getitem__, words)) if words else self._ids([text])[0]
-            for text, words in zip(texts, split)
-        ]
+        self._add(long, self._ids([w.decode() for w in long]))
+        number = np.array([self.known[w] if n is None else n for w, n in zip(different, number)], np.int64)
+        each = encoded.indices.to_numpy()
+        count = self.count[number][each]
+        ends = np.cumsum(count)
+        shift = self.first[number][each] - (ends - count)
+        places = np.repeat(shift, count)
+        places += np.arange(len(places))
+        ids = self.ids[places].astype("<u4", copy=False).tobytes()
+        for word in long:
+            del self.known[word]
+        _, self.filled, self.held = before
+        at = (4 * np.concatenate([[0], ends])[bounds]).tolist()
+        return [ids[a:b] for a, b in zip(at, at[1:])]
+
+    def _uneven(self, texts: list[str]) -> list[bytes]:
+        split = [[] if SPECIAL in t else [w.encode() for w in WORDS.split(t)] for t in texts]
+        words = pa.array([w for ws in split for w in ws], pa.binary())
+        found = self._joined(words, np.cumsum([0, *map(len, split)]))
+        return [ids if words else self._ids([t])[0] for t, words, ids in zip(texts, split, found)]
+
+    def each(self, texts: list[str] | pa.StringArray) -> Iterator[bytes]:
+        """Ids of each text, some texts at a time."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        a, size = 0, 0
+        for b, n in enumerate(pc.binary_length(texts).to_pylist(), 1):
+            size += n
+            if size >= TOGETHER or b == len(texts):
+                yield from self(texts.slice(a, b - a))
+                a, size = b, 0
+
+    def __call__(self, texts: list[str] | pa.StringArray) -> list[bytes]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        uneven = pc.match_substring_regex(texts, UNEVEN)
+        even = iter(self._joined(*_even_words(texts.filter(pc.invert(uneven)).cast(pa.binary()))))
+        others = iter(self._uneven(texts.filter(uneven).to_pylist()))
+        out = [next(others if odd else even) for odd in uneven.to_pylist()]
         if self.held > CACHED_BYTES:
             self.clear()
         return out
@@ -140,8 +211,7 @@ def cut_documents(
 
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {c: [] for c in names}
-            texts = batch.column("text").to_pylist()
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.each(texts)):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), encode.each(batch.column("text"))):
                 ids += end
                 n = len(ids) // 4
                 for at in range(0, n, window):
