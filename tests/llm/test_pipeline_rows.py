@@ -4,11 +4,14 @@ import sys
 from collections import Counter
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
+from twinfold.llm import language  # noqa: E402
+from twinfold.llm.common import held  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 STAGE = dict(corpus_pipeline.STAGES)
@@ -103,9 +106,27 @@ def test_language_stage_fills_in_languages(spark):
 
 
 def test_one_owner_holds_at_a_time():
-    from twinfold.llm.common import held
-
     first = held("one", 1, list)
     assert held("one", 1, list) is first and held("one", 2, list) is not first
     held("two", 1, list)
     assert held("one", 1, list) is not first
+
+
+def test_a_worker_gives_back_what_an_operator_held():
+    def resident():
+        return int(Path("/proc/self/statm").read_text().split()[1]) * 4096
+
+    held("first", 1, lambda: [bytearray(1000) for _ in range(100_000)])
+    pinned = bytearray(1000)  # lies behind them
+    before = resident()
+    held("second", 1, list)
+    assert len(pinned) == 1000 and before - resident() > 50_000_000
+
+
+def test_texts_of_a_batch_are_judged_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(language, "PORTION_CHARS", 10)
+    texts = ["abcd", None, "efg", "hijk", "x" * 30, "", "y"]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(7)), "text": pa.array(texts, pa.string())})
+    parts = [part.column("text").to_pylist() for part in language._slices(batch, 1)]
+    assert parts == [["abcd", None, "efg"], ["hijk"], ["x" * 30], ["", "y"]]
+    assert [*language._slices(batch.slice(0, 0), 1)] == []

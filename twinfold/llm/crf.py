@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 
 CELLS = 400_000  # tokens, padding included, that are decoded together
+NEW_KINDS = 8192  # new kinds that are described together
 
 
 def hashed(features: Iterable[str], size: int) -> list[int]:
@@ -195,9 +196,11 @@ class KindScores:
         if len(self.numbers) + len(new) > self.most:
             self.clear()
             new = words
-        if not new:
-            return
         new = list(new)
+        for at in range(0, len(new), NEW_KINDS):
+            self._add(new[at : at + NEW_KINDS])
+
+    def _add(self, new: list[str]) -> None:
         described = [self.describe(w) for w in new]
         at = len(self.numbers)
         for p in range(self.chain.places):

@@ -66,6 +66,19 @@ def _portions(texts: list[str], chars: int = PORTION_CHARS) -> Iterator[tuple[in
         yield a, len(texts)
 
 
+def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches of rows whose texts are judged at a time, so that only theirs become Python's."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+    a, size = 0, 0
+    for b, n in enumerate(sizes):
+        if b > a and size + n > PORTION_CHARS:
+            yield batch.slice(a, b - a)
+            a, size = b, 0
+        size += n
+    if a < len(sizes):
+        yield batch.slice(a)
+
+
 def cells_of(languages: int) -> int:
     """Padded tokens that are labelled together: fewer with many languages, as each has a number a token."""
     return max(1, CELLS * 8 // max(8, languages))
@@ -204,8 +217,12 @@ def identify(documents: DataFrame, model: LanguageModel) -> DataFrame:
         labeller = shipped.value.labeller()
 
         def step(batch: pa.RecordBatch) -> dict:
-            languages, score = _judge(labeller, batch.column("text").to_pylist())
-            return {"doc_id": batch.column("doc_id"), "lang_pred": languages, "score": score}
+            languages, scores = [], [np.zeros(0)]
+            for part in _slices(batch, batch.schema.names.index("text")):
+                found, score = _judge(labeller, part.column("text").to_pylist())
+                languages += found
+                scores.append(score)
+            return {"doc_id": batch.column("doc_id"), "lang_pred": languages, "score": np.concatenate(scores)}
 
         return step
 
@@ -228,11 +245,12 @@ def with_language(documents: DataFrame, model: LanguageModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = shipped.value.labeller()
         for batch in batches:
-            found, _ = _judge(labeller, [t or "" for t in batch.column(at).to_pylist()])
-            if lang is not None and batch.column(lang).null_count:
-                whole = pc.coalesce(batch.column(lang), pa.array(found, batch.column(lang).type))
-                batch = batch.set_column(lang, batch.schema.field(lang), whole)
-            yield batch.filter(pa.array([x != UNDETERMINED for x in found], pa.bool_()))
+            for part in _slices(batch, at):
+                found, _ = _judge(labeller, [t or "" for t in part.column(at).to_pylist()])
+                if lang is not None and part.column(lang).null_count:
+                    whole = pc.coalesce(part.column(lang), pa.array(found, part.column(lang).type))
+                    part = part.set_column(lang, part.schema.field(lang), whole)
+                yield part.filter(pa.array([x != UNDETERMINED for x in found], pa.bool_()))
 
     return documents.mapInArrow(run, documents.schema)
 
