@@ -82,3 +82,46 @@ def test_patience_without_held_out_positives(spark, monkeypatch):
         settings=matcher.TreeSettings(rounds=50, patience=2, depth=2, min_rows_per_leaf=5),
     )
     assert seen == [6] and fitted.metrics.first()["best_iteration"] == 3
+
+
+def test_rounds_are_not_fitted_again_far_past_the_best(spark, monkeypatch):
+    """A loss that has passed its least value is looked at again where patience ends."""
+    monkeypatch.setattr(matcher, "FIRST_ROUNDS", 6)
+    seen = []
+    fit = matcher.TreeSettings.classifier
+    monkeypatch.setattr(
+        matcher.TreeSettings, "classifier", lambda self, n: seen.append(n) or fit(self, n)
+    )
+    monkeypatch.setattr(
+        matcher, "best_round", lambda losses, patience: (4, len(losses) >= 4 + patience)
+    )
+    settings = matcher.TreeSettings(rounds=50, patience=4, depth=2, min_rows_per_leaf=5)
+    fitted = matcher.fit_matcher(labelled(spark), settings=settings)
+    assert seen == [6, 8] and fitted.metrics.first()["best_iteration"] == 4
+
+
+def fits(losses, patience, first, most):
+    """Rounds of the fits until training stops, and the best round."""
+    done, rounds, step = [], first, first
+    while True:
+        done.append(rounds)
+        best, stopped = matcher.best_round(losses[:rounds], patience)
+        if stopped or rounds == most:
+            return done, best
+        rounds, step = matcher.rounds_of_next_fit(best, patience, rounds, step)
+        rounds = min(rounds, most)
+
+
+def test_fits_end_at_the_round_of_one_long_fit():
+    v = lambda least, n=1000: [abs(i + 1 - least) for i in range(n)]
+    assert fits(v(119), 75, 150, 1000) == ([150, 194], 119)
+    assert fits(v(148), 75, 150, 1000) == ([150, 450], 148)
+    assert fits(v(380), 75, 150, 1000) == ([150, 450, 455], 380)
+    assert fits(v(1000), 75, 150, 1000) == ([150, 450, 1000], 1000)
+    assert fits(v(2), 75, 5, 1000) == ([5, 77], 2)
+    draw = random.Random(3)
+    for _ in range(200):
+        least, patience = draw.randint(1, 300), draw.randint(1, 40)
+        noisy = [x + draw.uniform(0, 30) for x in v(least, 300)]
+        done, best = fits(noisy, patience, 2 * patience, 300)
+        assert best == matcher.best_round(noisy, patience)[0] and done == sorted(set(done))
