@@ -89,6 +89,50 @@ def test_kernels_on_long_and_many_texts(monkeypatch):
     assert lcs.window_scores(a[few], b[few]) == pytest.approx(expected)
 
 
+def test_combing_moves_small_numbers(monkeypatch):
+    """Strands and characters travel in 16 bits, and in 32 where they need them, with equal scores."""
+    a, b = ["abba cd", "x\uffffy", "\ufffe z", "\U0001f600 ab"], ["bab cda bc", "xy\uffff\ufffe", "z \uffff \ufffe", "ab \U0001f600"]
+    kinds, comb = [], lcs._comb
+    monkeypatch.setattr(lcs, "_comb", lambda *texts: kinds.append(comb(*texts)) or kinds[-1])
+    expected = [partial(x, y) for x, y in zip(a, b)]
+    assert lcs.window_scores(a, b) == pytest.approx(expected)
+    assert {k.dtype for k in kinds} == {np.dtype(np.uint16)}
+    monkeypatch.setattr(lcs, "SHORT_STRANDS", 0)
+    monkeypatch.setattr(lcs, "SHORT_CODES", 0)
+    assert lcs.window_scores(a, b) == pytest.approx(expected)
+    assert kinds[-1].dtype == np.uint32
+
+
+def test_strands_at_the_limit_of_16_bits():
+    """Texts whose strands just fit in 16 bits, and just do not."""
+    for length in (lcs.SHORT_STRANDS - 2, lcs.SHORT_STRANDS - 1):
+        text = "ab" * length
+        found = lcs._comb(lcs._columns(["ca"], -1), lcs._columns([text[:length]], -2))
+        assert found.dtype == (np.uint16 if length + 2 <= lcs.SHORT_STRANDS else np.uint32)
+        assert lcs.window_scores(["ca"], [text[: length - 1] + "c"]) == pytest.approx([50.0 * 4 / 3])
+
+
+def test_carries_go_through_many_words(monkeypatch):
+    monkeypatch.setattr(lcs, "LANES_PER_WORD", 0)
+    a = ["a" * 64 + "b" * 200 + "c", "b" * 300, "c" + "a" * 255]
+    b = ["c" + "b" * 200 + "a" * 64, "ab" * 200, "a" * 300 + "c"]
+    calls = []
+    vector = lcs._vector_lcs
+    monkeypatch.setattr(lcs, "_vector_lcs", lambda *t: calls.append(1) or vector(*t))
+    assert lcs.lcs_lengths(a, b).tolist() == [common(x, y) for x, y in zip(a, b)] and calls
+
+
+def test_dear_comparisons_come_first(spark):
+    rows = spark.range(200).select(
+        F.col("id").cast("string").cast("binary").alias("text_key"),
+        F.when(F.col("id") == 7, 90_000).otherwise(1_000).cast("long").alias("cost"),
+    )
+    dealt = similarity.by_cost(rows, F.col("cost"), "text_key", task_cost=50_000)
+    places = dealt.select("cost", F.spark_partition_id().alias("task")).collect()
+    dear = {r["task"] for r in places if r["cost"] == 90_000}
+    assert max(dear) < min(r["task"] for r in places if r["cost"] == 1_000)
+
+
 def test_symmetry_and_range():
     rng = random.Random(3)
     words = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 12))) for _ in range(300)]
