@@ -1,10 +1,10 @@
-"""Exact pairs made from lists of ids."""
+"""Exact pairs made from lists of ids, and those among other pairs."""
 
 import random
 
 import pytest
 from pyspark.sql import functions as F
-from tables import entities
+from tables import as_set, entities, messy
 
 from twinfold.operators import exact, skew
 
@@ -51,3 +51,14 @@ def test_pairs_of_a_large_group_take_little_room(spark, tmp_path):
     pairs = exact.exact_rows(s1, c, "clean_name")
     assert pairs.count() == 901 * 1803
     assert 2 * size(pairs, "lists") < before
+
+
+def test_exact_pairs_among_others(spark):
+    """Ids that come twice with different texts included."""
+    s1, c = entities(spark, messy("a")), entities(spark, messy("c", 2))
+    every = s1.selectExpr("entity_id as source1_entity_id").crossJoin(c.selectExpr("entity_id as candidate_entity_id"))
+    whole = as_set(exact.exact_block(s1, c))
+    assert whole and as_set(exact.exact_block(s1, c, among=every)) == whole
+    some = every.where("crc32(cast(concat(source1_entity_id, candidate_entity_id) as binary)) % 3 = 0")
+    rows = [tuple(r) for r in exact.exact_block(s1, c, among=some).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == whole & as_set(some.distinct())

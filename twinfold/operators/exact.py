@@ -13,7 +13,7 @@ from twinfold.functions.text import filled, short_key, text_digest
 from twinfold.operators.pairs import stack_pairs, union_pairs
 from twinfold.operators.postings import common_filter, drop_common, meet, rare_postings
 from twinfold.operators.skew import hot_keys, hot_keys_of_both, spread_lists
-from twinfold.session import stage, together
+from twinfold.session import by_merge, stage, together
 from twinfold.sources.entities import PAIR
 
 KEY = ["country_key", "text_key"]
@@ -123,8 +123,26 @@ def exact_pair_total(s1: DataFrame, candidates: DataFrame, column: str) -> DataF
     return sides.agg(F.coalesce(total, F.lit(0).cast("decimal(38,0)")).alias("pairs"))
 
 
-def exact_block(s1: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Distinct pairs that agree on name or on address."""
+def exact_among(pairs: DataFrame, s1: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Those of ``pairs`` that ``exact_block`` gives, found by digests; ids may come twice."""
+    facts = [short_key("clean_country").alias(KEY[0]), *digests(TEXTS)]
+    one = s1.select(F.col("entity_id").alias(PAIR[0]), *facts)
+    two = candidates.select(F.col("entity_id").alias(PAIR[1]), F.struct(*facts).alias("other"))
+    found = pairs.select(*PAIR).join(by_merge(one), PAIR[0]).join(by_merge(two), PAIR[1])
+    other = F.col("other")
+    same = (F.col(KEY[0]) == other[KEY[0]]) & agree(TEXTS, other)
+    return found.where(same).select(*PAIR).distinct()
+
+
+def exact_block(
+    s1: DataFrame, candidates: DataFrame, among: DataFrame | None = None
+) -> DataFrame:
+    """Distinct pairs that agree on name or on address; only those of the pairs ``among``, if given.
+
+    All of them grow with the square of a group of copies, those among others do not.
+    """
+    if among is not None:
+        return exact_among(among, s1, candidates)
     if not has_repeated_ids(s1, candidates):
         return stack_pairs(*exact_rows_once(s1, candidates))
     return union_pairs(
